@@ -15,6 +15,7 @@ from tonemill.functions.tokens import value_positions
 
 # Tokens outside letters, digits and spaces stand alone.
 _PUNCT = r"\p{P}$+<=>^`|~"
+_PICKED = "array<struct<start:int,len:int,id:int>>"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 # A vocabulary up to this many tokens is broadcast; a larger one is joined by shuffle.
 BROADCAST_TOKENS = 1 << 20
@@ -41,39 +42,37 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame) -> DataFrame:
     by word already, so with a broadcast vocabulary nothing here is shuffled again.
     """
     side, longest = _vocab_side(vocab)
-    word = F.col("word")
-    n = F.length(word)
-    starts = F.sequence(F.lit(1), n)
-    fitting = distinct_words.filter(n <= MAX_WORD_CHARS)
+    word, n = F.col("word"), F.length("word")
+    # A word that is too long keeps one candidate, so that it stays in the result.
+    last = F.when(n <= MAX_WORD_CHARS, n).otherwise(F.lit(1))
     candidates = (
-        fitting.withColumn("start", F.explode(starts))
+        distinct_words.withColumn("start", F.explode(F.sequence(F.lit(1), last)))
         .withColumn("len", F.explode(F.sequence(
-            F.lit(1), F.least(n - F.col("start") + 1, F.lit(longest)))))
+            F.lit(1), F.least(last - F.col("start") + 1, F.lit(longest)))))
         .withColumn("token", F.concat(
             F.when(F.col("start") > 1, CONTINUATION).otherwise(""),
             F.substring(word, F.col("start"), F.col("len"))))
     )
-    longest_match = (candidates.join(side, "token").groupBy("word", "start")
-                     .agg(F.max(F.struct("len", "id", "token")).alias("hit")))
+    found = F.when(F.col("id").isNotNull(), F.col("len"))
+    longest_match = (candidates.join(side, "token", "left").groupBy("word", "start")
+                     .agg(F.max(found).alias("len"), F.max_by("id", found).alias("id")))
     hits = longest_match.groupBy("word").agg(
-        F.sort_array(F.collect_list(F.struct("start", "hit"))).alias("hits"))
-    start_state = F.struct(F.lit(1).alias("at"), F.lit("").cast("string").alias("pieces"),
-                           F.array().cast("array<int>").alias("ids"))
-    walked = F.aggregate(
-        "hits", start_state,
-        lambda acc, h: F.when(
-            h["start"] == acc["at"],
-            F.struct((acc["at"] + h["hit"]["len"]).alias("at"),
-                     F.concat_ws(" ", F.when(acc["pieces"] != "", acc["pieces"]),
-                                 h["hit"]["token"]).alias("pieces"),
-                     F.concat(acc["ids"], F.array(h["hit"]["id"])).alias("ids"))).otherwise(acc))
-    done = hits.withColumn("walk", walked).filter(F.col("walk.at") == n + 1).select(
-        "word", F.col("walk.ids").alias("ids"), F.col("walk.pieces").alias("pieces"))
+        F.sort_array(F.collect_list(F.struct("start", "len", "id"))).alias("hits"))
+    nothing = F.struct(F.lit(1).alias("at"), F.array().cast(_PICKED).alias("picked"))
+    walked = F.aggregate("hits", nothing, lambda acc, h: F.when(
+        (h["start"] == acc["at"]) & h["len"].isNotNull(),
+        F.struct((acc["at"] + h["len"]).alias("at"),
+                 F.concat(acc["picked"], F.array(h)).alias("picked"))).otherwise(acc))
+    known = F.col("walk.at") == n + 1
+    piece = F.transform("walk.picked", lambda h: F.concat(
+        F.when(h["start"] > 1, CONTINUATION).otherwise(""),
+        F.substring(word, h["start"], h["len"])))
     unknown_id = vocab.filter(F.col("token") == UNK).select("id").scalar()
-    return distinct_words.join(done, "word", "left").select(
+    return hits.withColumn("walk", walked).select(
         "word",
-        F.coalesce("ids", F.array(unknown_id)).alias("ids"),
-        F.coalesce("pieces", F.lit(UNK)).alias("pieces"))
+        F.when(known, F.transform("walk.picked", lambda h: h["id"]))
+        .otherwise(F.array(unknown_id)).alias("ids"),
+        F.when(known, F.array_join(piece, " ")).otherwise(F.lit(UNK)).alias("pieces"))
 
 
 def subword_tokens(df: DataFrame, vocab: DataFrame, text: str = "Processed",

@@ -36,7 +36,8 @@ def mean_pool(df: DataFrame, vectors: DataFrame, dim: int, text: str = "Processe
     matched = lookup_vectors(document_token_counts(df, text), vectors).select(
         "ID", F.col("tf").cast("double").alias("tf"),
         array_to_vector(F.col("vector").cast("array<double>")).alias("v"))
-    pooled = matched.groupBy("ID").agg(Summarizer.mean(F.col("v"), F.col("tf")).alias("mean"))
+    pooled = (matched.groupBy("ID").agg(Summarizer.mean(F.col("v"), F.col("tf")).alias("mean"))
+              .select("ID", vector_to_array("mean").alias("pooled")))
     zeros = F.array_repeat(F.lit(0.0), dim)
     return (df.select("ID").join(pooled, "ID", "left")
-            .select("ID", F.coalesce(vector_to_array(F.col("mean")), zeros).alias("pooled")))
+            .select("ID", F.coalesce("pooled", zeros).alias("pooled")))

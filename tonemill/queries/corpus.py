@@ -107,21 +107,29 @@ def cleaned(spark: SparkSession, sf: str, profile: str = "embedding") -> DataFra
     return clean(documents(spark, sf), profile)
 
 
-_vector_files: dict[tuple[str, str], str] = {}
+_files: dict[tuple[str, str, str], str] = {}
+
+
+def once(spark: SparkSession, sf: str, name: str, write) -> str:
+    """Path of a table that is written once per session, as a user's own table would be."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _files:
+        path = new_path(spark, name)
+        write(path)
+        _files[key] = path
+    return _files[key]
 
 
 def word_vectors(spark: SparkSession, sf: str) -> DataFrame:
-    """``token, vector``: written as a vector text file once per session, then read as one."""
-    key = (spark.sparkContext.applicationId, sf)
-    if key not in _vector_files:
+    """``token, vector``, read from a vector text file."""
+    def write(path: str) -> None:
         ranked = dense_index(token_counts(cleaned(spark, sf)), [F.desc("n"), F.col("token")])
         vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("idx"), "embedding")
-        lines = ranked.join(vectors, "idx").select(
-            F.concat_ws(" ", "token", F.transform("embedding", lambda v: v.cast("string"))))
-        path = new_path(spark, "vectors")
-        lines.write.text(path)
-        _vector_files[key] = path
-    return read_word_vectors(spark, _vector_files[key])
+        ranked.join(vectors, "idx").select(
+            F.concat_ws(" ", "token", F.transform("embedding", lambda v: v.cast("string")))
+        ).write.text(path)
+
+    return read_word_vectors(spark, once(spark, sf, "vectors", write))
 
 
 def vector_dim(spark: SparkSession, sf: str) -> int:
@@ -130,19 +138,23 @@ def vector_dim(spark: SparkSession, sf: str) -> int:
 
 def subword_vocab(spark: SparkSession, sf: str) -> DataFrame:
     """``token, id``: special tokens, all characters and their continuations, frequent words."""
-    texts = clean(documents(spark, sf), "contextual")
-    tokens = texts.select(F.explode(words(F.col("Processed"))).alias("token"))
-    counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
-    chars = counts.select(F.explode(F.split("token", "")).alias("token")).filter(
-        "token != ''").distinct()
-    frequent = counts.orderBy(F.desc("n"), "token").limit(VOCAB_WORDS).select("token")
-    body = (chars.union(chars.select(F.concat(F.lit(CONTINUATION), "token")))
-            .union(frequent).distinct())
-    special = [PAD, UNK, CLS, SEP]
-    names = spark.createDataFrame(list(enumerate(special)), "id int, token string")
-    numbered = dense_index(body, [F.col("token")]).select(
-        "token", (F.col("idx") + len(special)).cast("int").alias("id"))
-    return numbered.unionByName(names)
+    def write(path: str) -> None:
+        texts = clean(documents(spark, sf), "contextual")
+        tokens = texts.select(F.explode(words(F.col("Processed"))).alias("token"))
+        counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
+        chars = counts.select(F.explode(F.split("token", "")).alias("token")).filter(
+            "token != ''").distinct()
+        frequent = counts.orderBy(F.desc("n"), "token").limit(VOCAB_WORDS).select("token")
+        body = (chars.union(chars.select(F.concat(F.lit(CONTINUATION), "token")))
+                .union(frequent).distinct())
+        special = [PAD, UNK, CLS, SEP]
+        names = spark.createDataFrame(list(enumerate(special)), "id int, token string")
+        numbered = dense_index(body, [F.col("token")]).select(
+            (F.col("idx") + len(special)).cast("int").alias("id"), "token")
+        numbered.unionByName(names).write.parquet(path)
+
+    path = once(spark, sf, "subwords", write)
+    return spark.read.schema("id int, token string").parquet(path)
 
 
 def trials(spark: SparkSession, sf: str) -> DataFrame:

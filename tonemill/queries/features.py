@@ -114,7 +114,7 @@ counts AS (SELECT word AS token, count(*) AS n FROM t WHERE split = 'train' GROU
 chars AS (SELECT DISTINCT unnest(string_split(token, '')) AS token FROM counts),
 body AS (SELECT token FROM chars UNION SELECT '{CONTINUATION}' || token FROM chars
          UNION (SELECT token FROM counts ORDER BY n DESC, token LIMIT {corpus.VOCAB_WORDS})),
-vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY token) + 3 AS INTEGER) AS id FROM body
+vocab AS (SELECT token, CAST(row_number() OVER (ORDER BY token) + 3 AS INTEGER) AS code FROM body
           UNION ALL SELECT '{PAD}', 0 UNION ALL SELECT '{UNK}', 1 UNION ALL SELECT '{CLS}', 2
           UNION ALL SELECT '{SEP}', 3),
 w AS (SELECT DISTINCT word FROM t),
@@ -127,13 +127,15 @@ hit AS (SELECT c.word, c.s, max(c.l) AS l
 walk AS (SELECT word, s, l, 1 AS k FROM hit WHERE s = 1
          UNION ALL SELECT h.word, h.s, h.l, walk.k + 1 FROM walk JOIN hit h ON h.word = walk.word AND h.s = walk.s + walk.l),
 done AS (SELECT word FROM walk GROUP BY word HAVING max(s + l) = length(word) + 1),
-piece AS (SELECT k.word, k.k, v.token, v.id FROM walk k JOIN done USING (word)
+piece AS (SELECT k.word, k.k, v.token, v.code FROM walk k JOIN done USING (word)
           JOIN vocab v ON v.token = CASE WHEN k.s > 1 THEN '{CONTINUATION}' ELSE '' END || substr(k.word, k.s, k.l)
           UNION ALL SELECT word, 1, '{UNK}', 1 FROM w WHERE word NOT IN (SELECT word FROM done)),
-parts AS (SELECT t.split, t.ID, t.pos, p.k, p.token, p.id FROM t JOIN piece p ON t.word = p.word),
-seq AS (SELECT d.split, d.ID, coalesce(list(p.id ORDER BY p.pos, p.k) FILTER (p.id IS NOT NULL), []) AS ids,
-               coalesce(string_agg(p.token, ' ' ORDER BY p.pos, p.k), '') AS pieces
-        FROM d LEFT JOIN parts p ON d.split = p.split AND d.ID = p.ID GROUP BY d.split, d.ID)
+parts AS (SELECT t.split, t.ID, t.pos, p.k, p.token, p.code FROM t JOIN piece p ON t.word = p.word),
+lists AS (SELECT split, ID, list_sort(list(struct_pack(pos := pos, k := k, token := token, code := code))) AS l
+          FROM parts GROUP BY split, ID),
+seq AS (SELECT d.split, d.ID, coalesce(list_transform(l, lambda x: x.code), []) AS ids,
+               coalesce(array_to_string(list_transform(l, lambda x: x.token), ' '), '') AS pieces
+        FROM d LEFT JOIN lists ON d.split = lists.split AND d.ID = lists.ID)
 {source}"""
 
 

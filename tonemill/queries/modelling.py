@@ -27,45 +27,53 @@ SEARCH_SPACE = {
 
 
 def _term_rows(spark, sf):
-    """Labelled rows with split and terms, cleaned and counted once for all that follows."""
-    rows = clean(corpus.labelled(spark, sf), "frequency").select(
-        "ID", corpus.split_of().alias("split"), F.col("Label").alias("label"),
-        tfidf.term_array(F.col("Processed")).alias("terms"))
-    return materialize(rows, "terms")
+    """Labelled rows with split and terms, cleaned once for all passes that follow."""
+    def write(path):
+        clean(corpus.labelled(spark, sf), "frequency").select(
+            "ID", corpus.split_of().alias("split"), F.col("Label").alias("label"),
+            tfidf.term_array(F.col("Processed")).alias("terms")).write.parquet(path)
 
+    schema = "ID long, split string, label int, terms array<string>"
+    return spark.read.schema(schema).parquet(corpus.once(spark, sf, "terms", write))
 
-def _fit(spark, sf):
-    rows = _term_rows(spark, sf)
-    train = rows.filter("split = 'train'")
-    features = tfidf.fit_tfidf(train).model()
-    model = logistic.fit_logistic(features.transform(train))
-    return rows, logistic.with_features(features, model)
+
+def _fitted(spark, sf):
+    """Term rows and the saved model, fitted once per session."""
+    def write(path):
+        rows = _term_rows(spark, sf)
+        train = rows.filter("split = 'train'")
+        features = tfidf.fit_tfidf(train).model()
+        model = logistic.fit_logistic(features.transform(train))
+        logistic.save_model(logistic.with_features(features, model), path)
+
+    path = corpus.once(spark, sf, "logistic", write)
+    return _term_rows(spark, sf), logistic.load_model(path)
 
 
 @query("lr_fit")
 def lr_fit(spark, sf):
-    """Metrics of the fitted model on each split."""
-    rows, model = _fit(spark, sf)
+    """Fit, then metrics on each split."""
+    rows, model = _fitted(spark, sf)
     scored = logistic.predict(model, rows, ("split", "ID", "label"))
     return metrics.binary_metrics(scored, ["split"])
 
 
 @query("lr_predict")
 def lr_predict(spark, sf):
-    rows, model = _fit(spark, sf)
+    rows, model = _fitted(spark, sf)
     return logistic.predict(model, rows, ("split", "ID")).drop("score")
 
 
 @query("lr_score")
 def lr_score(spark, sf):
-    rows, model = _fit(spark, sf)
+    rows, model = _fitted(spark, sf)
     return logistic.predict(model, rows, ("split", "ID", "label")).drop("prediction")
 
 
 @query("save_model")
 def save_model(spark, sf):
-    """Rows whose score changes when the model is saved and loaded, counted with all rows."""
-    rows, model = _fit(spark, sf)
+    """Rows whose score changes when the model is saved and loaded again, with all rows."""
+    rows, model = _fitted(spark, sf)
     path = new_path(spark, "model")
     logistic.save_model(model, path)
     before = logistic.predict(model, rows).select("ID", F.col("score").alias("before"))
@@ -118,26 +126,21 @@ def learning_curve(spark, sf):
     return search.learning_curve(features, folds, LOGISTIC_C, parallelism=8)
 
 
-def length_model():
-    """A stand-in for a loaded model: logits from the length and the ID of a text."""
-    weights = np.array([[-0.001, 0.001], [0.0005, -0.0005]])
-    bias = np.array([0.75, -0.75])
-
-    def predict(n_chars, n_words):
-        return np.stack([n_chars, n_words], axis=1) @ weights + bias
-
-    return predict
-
-
 @query("score_batches", """
 WITH z AS (SELECT doc_id AS ID, 0.001::DOUBLE * n_chars - 0.0005::DOUBLE * doc_id - 0.75 AS z FROM documents)
 SELECT ID, round(z, 6) + 0.0 AS logit, CAST(z > -z AS INTEGER) AS prediction,
        round(1.0 / (1.0 + exp(-2 * z)), 6) AS score FROM z""")
 def score_batches(spark, sf):
+    weights, bias = np.array([[-0.001, 0.001], [0.0005, -0.0005]]), np.array([0.75, -0.75])
+
+    def load_model():
+        """Stands in for loading a model: it runs once per worker and is shipped by value."""
+        return lambda a, b: np.stack([a, b], axis=1) @ weights + bias
+
     rows = corpus.table(spark, sf, "documents").select(
         F.col("doc_id").alias("ID"), F.col("n_chars").cast("double").alias("a"),
         F.col("doc_id").cast("double").alias("b"))
-    scored = scoring.score_batches(rows, length_model, ["a", "b"])
+    scored = scoring.score_batches(rows, load_model, ["a", "b"])
     return scored.select(
         "ID", (F.round(F.get("logits", F.lit(1)), 6) + 0.0).alias("logit"),
         scores.argmax_class(F.col("logits")).alias("prediction"),

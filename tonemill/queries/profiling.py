@@ -213,13 +213,14 @@ def prefix_sizes(spark, sf):
     """How many rows and positives each growing training prefix of each fold holds."""
     rows_ = batches.stratified_folds(corpus.label_rows(spark, sf).select("ID", "Label"))
     positions = batches.training_positions(rows_)
-    sizes = batches.prefix_sizes(positions)
-    # Each row counts from the first step that reaches it: one bounded list of steps.
-    steps = sizes.agg(F.array_sort(F.collect_list(F.struct("step", "n_train"))).alias("s"))
-    reached = positions.withColumn("s", F.filter(
-        steps.scalar(), lambda s: F.col("position") < s["n_train"]))
-    return (reached.select("held_out", "Label", F.inline("s")).groupBy("step", "held_out", "n_train")
-            .agg(F.count("*").alias("n_rows"), F.sum("Label").alias("n_positive")))
+    # Counts by first step are few; each then counts for its own and all later steps.
+    counts = (batches.first_step(positions).groupBy("held_out", "step")
+              .agg(F.count("*").alias("n_rows"), F.sum("Label").alias("n_positive"))
+              .filter(F.col("step") <= CURVE_STEPS)
+              .withColumn("step", F.explode(F.sequence(F.col("step"), F.lit(CURVE_STEPS))))
+              .groupBy("held_out", "step")
+              .agg(F.sum("n_rows").alias("n_rows"), F.sum("n_positive").alias("n_positive")))
+    return counts.join(batches.prefix_sizes(positions), "step")
 
 
 @query("running_best", """

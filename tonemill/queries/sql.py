@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import zipfile
 from functools import lru_cache
 from pathlib import Path
 
 import pyspark
+from pyspark.ml.feature import StopWordsRemover
 
 from tonemill.constants import PUNCTUATION, SPELLING, STOP_WORDS
 
@@ -95,11 +97,12 @@ def word_list(values: list[str]) -> str:
 
 @lru_cache(maxsize=1)
 def english_stop_words() -> list[str]:
-    """The English list that Spark's MLlib ships, read from its jar."""
-    jar = next(Path(pyspark.__file__).parent.glob("jars/spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as z:
-        raw = z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode()
-    return raw.split("\n") if not raw.endswith("\n") else raw[:-1].split("\n")
+    """The English list of Spark's MLlib, read from its jar, which needs no session."""
+    jars = Path(os.environ.get("SPARK_HOME") or Path(pyspark.__file__).parent) / "jars"
+    for jar in jars.glob("spark-mllib_*.jar"):
+        with zipfile.ZipFile(jar) as z:
+            return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode().splitlines()
+    return StopWordsRemover.loadDefaultStopWords("english")
 
 
 DOCS = "SELECT doc_id AS ID, text AS Text FROM documents"

@@ -43,9 +43,10 @@ def strip_punct(c: Column) -> Column:
 def join_apostrophes(c: Column) -> Column:
     """``don't`` becomes ``dont``; pairs do not overlap, so ``rock'n'roll`` keeps its second one.
 
-    The look-behind and the possessive quantifier keep the scan linear in long words.
+    The search starts from the apostrophe, which is rare. An apostrophe right after the second
+    word is consumed with it and put back: its left neighbour is already part of a pair.
     """
-    return F.regexp_replace(c, f"(?<![{WORD}])([{WORD}]++)'([{WORD}]+)", "$1$2")
+    return F.regexp_replace(c, f"'(?<=[{WORD}]')([{WORD}]++)('?)", "$1$2")
 
 
 def strip_non_ascii(c: Column) -> Column:
@@ -61,19 +62,27 @@ def collapse_spaces(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, f"[{SPACE}]+", " "))
 
 
+def collapse_ascii_spaces(c: Column) -> Column:
+    """The same for text without non-ASCII characters, at half the cost."""
+    return F.trim(F.regexp_replace(c, r"[\s\x1c-\x1f]+", " "))
+
+
 def fix_spelling(c: Column, corrections: dict[str, str] = SPELLING) -> Column:
     """Replace whole words, one entry after the other.
 
     ``\\b`` follows Java's rules here, so the input should be ASCII, as it is in every profile.
+    The boundary on the left is checked last, so that the search is for a plain string.
     """
-    return reduce(lambda x, kv: F.regexp_replace(x, rf"\b{kv[0]}\b", kv[1]), corrections.items(), c)
+    return reduce(
+        lambda x, kv: F.regexp_replace(x, rf"{kv[0]}(?<=\b{kv[0]})\b", kv[1]),
+        corrections.items(), c)
 
 
 PROFILES = {
     "frequency": [lowercase, mask_mentions, mask_urls, strip_punct, join_apostrophes,
-                  strip_non_ascii, collapse_repeats, collapse_spaces],
+                  strip_non_ascii, collapse_repeats, collapse_ascii_spaces],
     "embedding": [lowercase, mask_mentions, mask_urls, mask_hashtags, strip_punct,
-                  join_apostrophes, strip_non_ascii, collapse_repeats, collapse_spaces],
+                  join_apostrophes, strip_non_ascii, collapse_repeats, collapse_ascii_spaces],
     "contextual": [lowercase, mask_mentions, mask_urls, strip_non_ascii],
 }
 

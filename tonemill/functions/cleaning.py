@@ -74,7 +74,7 @@ def fix_spelling(c: Column, corrections: dict[str, str] = SPELLING) -> Column:
     The boundary on the left is checked last, so that the search is for a plain string.
     """
     return reduce(
-        lambda x, kv: F.regexp_replace(x, rf"{kv[0]}(?<=\b{kv[0]})\b", kv[1]),
+        lambda x, kv: F.regexp_replace(x, rf"{kv[0]}\b(?<=\b{kv[0]})", kv[1]),
         corrections.items(), c)
 
 

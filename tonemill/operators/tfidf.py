@@ -30,9 +30,18 @@ def term_array(text: Column, stop_words: list[str] = STOP_WORDS,
 
 
 def count_terms(df: DataFrame, terms: str = "terms") -> DataFrame:
-    """``(term, tf, df)``: corpus count and number of rows that hold the term."""
-    return (df.select(F.inline(value_counts(F.col(terms)))).groupBy("term")
-            .agg(F.sum("tf").alias("tf"), F.count("*").alias("df")))
+    """``(term, tf, df)``: corpus count and number of rows that hold the term.
+
+    Terms are sorted within their row and unnested beside their left neighbour; where the two
+    differ, a new term of the row begins.
+    """
+    ordered = df.select(F.sort_array(terms).alias("w"))
+    shifted = F.concat(F.array(F.lit(None).cast("string")),
+                       F.slice("w", F.lit(1), F.greatest(F.size("w") - 1, F.lit(0))))
+    pairs = F.when(F.size("w") > 0, F.arrays_zip(F.col("w").alias("term"), shifted.alias("left")))
+    begins = (~F.col("term").eqNullSafe(F.col("left"))).cast("long")
+    return (ordered.select(F.inline(pairs).alias("term", "left")).groupBy("term")
+            .agg(F.count("*").alias("tf"), F.sum(begins).alias("df")))
 
 
 def fit_vocabulary(df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,

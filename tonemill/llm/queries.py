@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonemill.llm import lines, mixing, secrets, sharding
+from tonemill.llm import kdtree, langid, lines, minhash, mixing, secrets, sharding
 from tonemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 N_SHARDS = 40
@@ -60,6 +60,33 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY r, doc_id
 """
 
+TOP_SQL = r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+  FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op1_odd_sketch_minhash")
+def op1_odd_sketch_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf, "documents"), minhash.NearDup(width=4))
+
+
+@query("op2_hierarchical_langid")
+def op2_hierarchical_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
+    return langid.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
 
 @query("op3_curriculum_mix", MIX_SQL)
 def op3_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,3 +123,8 @@ def op8_entropy_secrets(spark: SparkSession, sf: str) -> DataFrame:
         n("hex").alias("n_hex"),
         F.sha2(secrets.joined(of(*secrets.BASE_KINDS)), 256).alias("base_sha256"),
         secrets.joined(F.col("spans")).alias("spans"))
+
+
+@query("op10_kdtree_topk", TOP_SQL)
+def op10_kdtree_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return kdtree.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)

@@ -15,6 +15,8 @@ CHUNK_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: All ASCII but letters and digits.
+MARKS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 #: A-Z become a-z, every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -102,9 +104,10 @@ def rows_of(positions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.searchsorted(offsets, positions, "right") - 1
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without ASCII white space) and the row of each."""
-    starts, ends = edges(~SPACE[data], offsets)
+def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = SPACE
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs without the bytes ``gaps``) and the row of each."""
+    starts, ends = edges(~gaps[data], offsets)
     return starts, ends, rows_of(starts, offsets)
 
 

@@ -129,7 +129,12 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     )
 
 
-def in_training_order(assigned: DataFrame, position: Column, key: str) -> DataFrame:
-    """Rows range-sorted by position; ties go by ID, rows without a position come last."""
-    order = [position.asc_nulls_last(), F.col(key).asc_nulls_last()]
-    return assigned.repartitionByRange(*order).sortWithinPartitions(*order)
+def in_training_order(rows: DataFrame, position: Column, key: str) -> DataFrame:
+    """Rows sorted by position in ranges of equal training time; without a position, at the end.
+
+    Positions lie in 0..1, so ranges need no sampling pass: each is one partition.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.coalesce(F.least(F.floor(position * n), F.lit(n - 1)), F.lit(n - 1)).cast("int")
+    return rows.repartitionById(n, place).sortWithinPartitions(
+        position.asc_nulls_last(), F.col(key).asc_nulls_last())

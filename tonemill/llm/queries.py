@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonemill.llm import kdtree, langid, lines, minhash, mixing, secrets, sharding
+from tonemill.llm import (
+    decontam,
+    kdtree,
+    langid,
+    lines,
+    minhash,
+    mixing,
+    pii,
+    secrets,
+    sharding,
+)
 from tonemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
 N_SHARDS = 40
+#: Stands for the secret that a user would keep.
+PII_KEY = "key of the registered query"
 
 MIX_SQL = r"""
 WITH docs AS (
@@ -96,6 +108,12 @@ def op3_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op4_feistel_pseudonyms")
+def op4_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY)
+
+
 @query("op6_line_dedup", LINES_SQL)
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -125,6 +143,12 @@ def op8_entropy_secrets(spark: SparkSession, sf: str) -> DataFrame:
         secrets.joined(F.col("spans")).alias("spans"))
 
 
+@query("op9_bm25_leaks")
+def op9_bm25_leaks(spark: SparkSession, sf: str) -> DataFrame:
+    items = table(spark, sf, "benchmark").select("item_id", "text")
+    return decontam.find_leaks(table(spark, sf, "documents"), items)
+
+
 @query("op10_kdtree_topk", TOP_SQL)
 def op10_kdtree_topk(spark: SparkSession, sf: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)

@@ -56,7 +56,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = docs.select(*COLUMNS).withColumn("_row", F.xxhash64(*COLUMNS))
     wanted = F.filter("copies", lambda c: c["words"] * 2 >= F.col("size"))
     copies = materialize(mixing.assign(rows, key="_row").select(
-        "_row", F.explode(wanted)["position"].alias("_position")), "copies")
+        "_row", F.explode(wanted).alias("_copy")).select(
+        "_row", F.col("_copy.position").alias("_position")), "copies")
     # Equal rows share a key and bring a copy each; one of them gives the text for all.
     texts = rows.dropDuplicates(["_row"])
     return mixing.in_training_order(texts.join(copies, "_row"), F.col("_position"), "_row").select(

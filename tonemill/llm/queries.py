@@ -15,6 +15,7 @@ from tonemill.llm import (
     pii,
     secrets,
     sharding,
+    suffix,
 )
 from tonemill.llm.registry import ORACLES, QUERIES, query, table  # noqa: F401
 
@@ -114,6 +115,14 @@ def op4_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
     return pii.pseudonymize(docs, PII_KEY)
 
 
+@query("op5_bwt_repeats")
+def op5_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return suffix.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans",
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op6_line_dedup", LINES_SQL)
 def op6_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")

@@ -36,10 +36,12 @@ from tonemill.llm import buffers
 from tonemill.plans.materialize import materialize
 
 LENGTH = 400
-GRAM = 64
+GRAM = 256
 #: Stretches of one anchor that a shard takes; anchors with more are counted by hash.
-MOST_STRETCHES = 1000
+MOST_STRETCHES = 2000
 SHARD_BYTES = 1 << 20
+#: Tables of up to so many rows are sent to all executors instead of shuffling the other side.
+BROADCAST_ROWS = 2_000_000
 
 
 def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -73,12 +75,13 @@ def _text_keys(text) -> list:
 
 def stretches(docs: DataFrame, length: int) -> DataFrame:
     """Every anchor: text ``k1, k2``, place ``at``, gram ``g``, and its stretch: ``before`` bytes
-    ahead of the anchor, ``size`` in all, hashes ``s1, s2``."""
+    ahead of the anchor, ``size`` in all, hash ``s`` (with ``g``, 128 bits tell stretches apart)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in buffers.slices(batch.column(2)):
                 data, offsets = buffers.utf8(batch.column(2).slice(a, b - a))
-                one, two = buffers.SpanHash(data, 11), buffers.SpanHash(data, 12)
+                one = buffers.SpanHash(data, 11)
+                two = buffers.SpanHash(data, 12)
                 grams = np.arange(max(0, len(data) - GRAM + 1))
                 hashes = one.of(grams, grams + GRAM)
                 rows, at = [], []
@@ -96,32 +99,36 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).take(take),
                      batch.column(1).slice(a, b - a).take(take),
-                     pa.array((at - offsets[rows]).astype(np.int64)), _signed(hashes[at]),
+                     pa.array((at - offsets[rows]).astype(np.int32)), _signed(hashes[at]),
                      pa.array((at - start).astype(np.int32)),
                      pa.array((end - start).astype(np.int32)),
-                     _signed(buffers.mix(one.of(start, end) + shape)),
                      _signed(buffers.mix(two.of(start, end) + shape))],
-                    ["k1", "k2", "at", "g", "before", "size", "s1", "s2"])
+                    ["k1", "k2", "at", "g", "before", "size", "s"])
 
     return docs.select("k1", "k2", "text").mapInArrow(
-        run, "k1 long, k2 long, at long, g long, before int, size int, s1 long, s2 long")
+        run, "k1 long, k2 long, at int, g long, before int, size int, s long")
 
 
-def suffix_order(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes sorted by their first ``depth`` symbols or more, by doubling."""
-    n = len(text)
-    rank, have = text.astype(np.int64), 1
-    while True:
+    n, have = len(text), 7
+    key = np.zeros(n, np.int64)  # seven symbols of nine bits
+    for j in range(have):
+        key[: n - j] |= text[j:] << np.int64(9 * (have - 1 - j))
+    order = np.argsort(key)
+    ordered = key[order]
+    rank = np.empty(n, np.int64)
+    rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
+    while have < depth and rank[order[-1]] < n - 1:
         ahead = np.zeros(n, np.int64)
         ahead[: max(0, n - have)] = rank[have:] + 1
-        key = rank * np.int64(n + 65_600) + ahead
-        order = np.argsort(key, kind="stable")
-        key = key[order]
+        key = rank * np.int64(n + 1) + ahead
+        order = np.argsort(key)
+        ordered = key[order]
         rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+        rank[order] = np.cumsum(np.concatenate([[False], ordered[1:] != ordered[:-1]]))
         have *= 2
-        if have >= depth or (n and rank[order[-1]] == n - 1):
-            return order, rank
+    return order
 
 
 def long_neighbours(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -174,7 +181,7 @@ def repeated_places(parts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     text[:] = raw
     text += 1
     text[ends - 1] = 0  # separators
-    order, _ = suffix_order(text, length)
+    order = suffix_order(text, length)
     near = long_neighbours(text, order, length)
     number = np.cumsum(~near)
     shared = near.copy()
@@ -195,7 +202,7 @@ def _merged(places: np.ndarray, length: int) -> list[int]:
 
 
 def _in_shards(rows: DataFrame, length: int) -> DataFrame:
-    """``g, s1, s2, ranges`` for ``shard, g, s1, s2, before, n, bytes``."""
+    """``g, s, ranges`` for ``shard, g, s, before, n, bytes``."""
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("g", "ascending")])
         parts = table.column("bytes").to_pylist()
@@ -221,82 +228,122 @@ def _in_shards(rows: DataFrame, length: int) -> DataFrame:
                 found[part[own[0]]] = _merged(place[own], length)
         for i in np.flatnonzero(many).tolist():
             found[i] = [0, len(parts[i])]
-        return pa.table({"g": table.column("g"), "s1": table.column("s1"),
-                         "s2": table.column("s2"), "ranges": pa.array(found, pa.list_(pa.int32()))})
+        return pa.table({"g": table.column("g"), "s": table.column("s"),
+                         "ranges": pa.array(found, pa.list_(pa.int32()))})
+
+    return rows.groupBy("shard").applyInArrow(run, "g long, s long, ranges array<int>")
 
-    return rows.groupBy("shard").applyInArrow(run, "g long, s1 long, s2 long, ranges array<int>")
 
+def _by_hash(rows: DataFrame, length: int, pieces: int = 8) -> DataFrame:
+    """The same for anchors with very many stretches: their strings are counted by hash.
+
+    The places of an anchor in its strings are cut into ``pieces``. All strings of one piece hold
+    the same core, so only pieces whose core is found twice have their strings counted.
+    """
+    step = -(-(length - GRAM + 1) // pieces)
+
+    def cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = {c: [] for c in ("row", "low", "high", "h1", "h2")}
+            for i, raw in enumerate(batch.column(3).to_pylist()):
+                data, at = np.frombuffer(raw, np.uint8), batch.column(2)[i].as_py()
+                low = np.arange(0, length - GRAM + 1, step)  # the anchor's place in the string
+                high = np.minimum(low + step - 1, length - GRAM)
+                a, b = at - low, at - high + length
+                # A piece without any whole string in the text has none to count.
+                keep = np.maximum(low, at + length - len(data)) <= np.minimum(high, at)
+                low, high, a, b = (x[keep] for x in (low, high, a, b))
+                for c, x in (("row", np.full(len(a), i)), ("low", low), ("high", high),
+                             ("h1", buffers.SpanHash(data, 13).of(a, b)),
+                             ("h2", buffers.SpanHash(data, 14).of(a, b))):
+                    out[c].append(x)
+            joined = {c: np.concatenate(x) if x else np.zeros(0, np.int64) for c, x in out.items()}
+            take = pa.array(joined["row"].astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(c).take(take) for c in (0, 1, 4)]
+                + [pa.array(joined[c].astype(np.int32)) for c in ("low", "high")]
+                + [_signed(joined[c].astype(np.uint64)) for c in ("h1", "h2")],
+                ["g", "s", "n", "low", "high", "h1", "h2"])
 
-def _by_hash(rows: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with very many stretches: their strings are counted by hash."""
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, raw in enumerate(batch.column(4).to_pylist()):
-                data = np.frombuffer(raw, np.uint8)
-                p = np.arange(len(data) - length + 1)
+            for i, raw in enumerate(batch.column(3).to_pylist()):
+                data, at = np.frombuffer(raw, np.uint8), batch.column(2)[i].as_py()
+                spans = [at - np.arange(x["low"], x["high"] + 1)
+                         for x in batch.column(5)[i].as_py()]
+                p = np.concatenate(spans)
+                p = p[(p >= 0) & (p + length <= len(data))]
                 take = pa.array(np.full(len(p), i))
-                h1, h2 = (buffers.SpanHash(data, s).of(p, p + length) for s in (13, 14))
+                h1, h2 = (buffers.SpanHash(data, x).of(p, p + length) for x in (13, 14))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(take) for c in range(3)]
-                    + [pa.array(p.astype(np.int32)),
-                       pa.array((p - batch.column(3)[i].as_py()).astype(np.int32)),
-                       batch.column(5).take(take), _signed(h1), _signed(h2)],
-                    ["g", "s1", "s2", "place", "offset", "n", "h1", "h2"])
-
-    every = rows.select("g", "s1", "s2", "before", "bytes", "n").mapInArrow(
-        strings, "g long, s1 long, s2 long, place int, offset int, n long, h1 long, h2 long")
+                    [batch.column(c).take(take) for c in (0, 1, 4)]
+                    + [pa.array(p.astype(np.int32)), pa.array((p - at).astype(np.int32)),
+                       _signed(h1), _signed(h2)],
+                    ["g", "s", "n", "place", "offset", "h1", "h2"])
+
+    rows = rows.select("g", "s", "before", "bytes", "n")
+    every = rows.mapInArrow(cores, "g long, s long, n long, low int, high int, h1 long, h2 long")
+    core = ["g", "low", "h1", "h2"]
+    shared = materialize(every.groupBy(*core).agg(F.sum("n").alias("t")).filter("t > 1"), "cores")
+    open_pieces = every.join(shared, core).groupBy("g", "s").agg(
+        F.collect_list(F.struct("low", "high")).alias("pieces"))
+    counted = rows.join(open_pieces, ["g", "s"]).select(*rows.columns, "pieces").mapInArrow(
+        strings, "g long, s long, n long, place int, offset int, h1 long, h2 long")
     same = ["g", "offset", "h1", "h2"]
-    often = materialize(every.groupBy(*same).agg(F.sum("n").alias("t")).filter("t > 1"), "often")
-    ranges = every.join(often, same).groupBy("g", "s1", "s2").agg(F.array_sort(
+    counted = materialize(counted, "strings")
+    often = materialize(counted.groupBy(*same).agg(F.sum("n").alias("t")).filter("t > 1"), "often")
+    ranges = counted.join(often, same).groupBy("g", "s").agg(F.array_sort(
         F.collect_set("place")).alias("p"))
-    return ranges.select("g", "s1", "s2", F.flatten(F.transform(
+    return ranges.select("g", "s", F.flatten(F.transform(
         "p", lambda x: F.array(x, x + length))).alias("ranges"))
 
 
+def _sent(rows: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if a count shows that it is small."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
 def _stretch_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``g, s1, s2, before, n, bytes``: one copy of each stretch that ``wanted`` names."""
+    """``g, s, before, n, bytes``: one copy of each stretch that ``wanted`` names."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(
-        F.struct("g", "s1", "s2", "at", "before", "size", "n")).alias("cut"))
+        F.struct("g", "s", "at", "before", "size", "n")).alias("cut"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, cut in zip(batch.column(0), batch.column(1)):
-                raw = text.as_buffer()
-                rows = cut.as_py()
+                raw, rows = text.as_buffer(), cut.as_py()
                 yield pa.RecordBatch.from_pydict(
-                    {c: [r[c] for r in rows] for c in ("g", "s1", "s2", "before", "n")}
+                    {c: [r[c] for r in rows] for c in ("g", "s", "before", "n")}
                     | {"bytes": [raw[r["at"] - r["before"]:
                                      r["at"] - r["before"] + r["size"]].to_pybytes()
                                  for r in rows]}, _STRETCH)
 
-    rows = docs.join(materialize(lists, "lists"), ["k1", "k2"]).select("text", "cut").mapInArrow(
-        run, "g long, s1 long, s2 long, before int, n long, bytes binary")
-    # Equal texts give equal stretches; one of each goes on.
-    return rows.groupBy("g", "s1", "s2").agg(
-        F.first("before").alias("before"), F.first("n").alias("n"),
-        F.first("bytes").alias("bytes"))
+    # One text of each group of equal ones; copies within a task are merged before the shuffle.
+    texts = docs.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    return texts.join(materialize(lists, "lists"), ["k1", "k2"]).select("text", "cut").mapInArrow(
+        run, "g long, s long, before int, n long, bytes binary")
 
 
-_STRETCH = pa.schema([("g", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()),
-                      ("before", pa.int32()), ("n", pa.int64()), ("bytes", pa.binary())])
+_STRETCH = pa.schema([("g", pa.int64()), ("s", pa.int64()), ("before", pa.int32()),
+                      ("n", pa.int64()), ("bytes", pa.binary())])
 
 
 def repeated_ranges(docs: DataFrame, length: int, most_stretches: int, shard_bytes: int
                     ) -> DataFrame:
     """``k1, k2, start, end``: ranges of each text that repeat, for ``k1, k2, text``."""
-    every = materialize(stretches(docs, length), "stretches")
+    # Anchors are found twice, which costs less than a written table of them all.
     several = materialize(
-        every.groupBy("g").agg(F.min("s1").alias("low"), F.max("s1").alias("high"),
-                               F.count("*").alias("n")).filter("n > 1"), "several")
-    kept = materialize(every.join(several.withColumn("mixed", F.col("low") != F.col("high"))
-                                  .select("g", "mixed"), "g"), "kept")
+        stretches(docs, length).groupBy("g").agg(
+            F.min("s").alias("low"), F.max("s").alias("high"), F.count("*").alias("n"))
+        .filter("n > 1").select("g", (F.col("low") != F.col("high")).alias("mixed")), "several")
+    kept = materialize(stretches(docs, length).join(_sent(several), "g"), "kept")
     whole = kept.filter("NOT mixed").select(
         "k1", "k2", (F.col("at") - F.col("before")).alias("start"),
         (F.col("at") - F.col("before") + F.col("size")).alias("end"))
     mixed = kept.filter("mixed")
-    distinct = materialize(mixed.groupBy("g", "s1", "s2").agg(
+    distinct = materialize(mixed.groupBy("g", "s").agg(
         F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "before", "size")).alias("f")
-    ).select("g", "s1", "s2", "n", "f.*"), "distinct")
+    ).select("g", "s", "n", "f.*"), "distinct")
     sizes = distinct.groupBy("g").agg(F.count("*").alias("stretches"))
     parts = materialize(_stretch_bytes(docs, distinct), "parts")
     crowded = materialize(sizes.filter(F.col("stretches") > most_stretches).select("g"), "crowded")
@@ -308,11 +355,11 @@ def repeated_ranges(docs: DataFrame, length: int, most_stretches: int, shard_byt
     if crowded.take(1):
         found = found.union(_by_hash(parts.join(crowded, "g"), length))
     found = materialize(found.filter(F.size("ranges") > 0), "found")
-    placed = mixed.join(found, ["g", "s1", "s2"]).select(
-        "k1", "k2", (F.col("at") - F.col("before")).alias("base"),
-        F.explode(F.transform(F.sequence(F.lit(0), (F.size("ranges") / 2).cast("int") - 1), lambda i: F.struct(
-            F.get("ranges", (i * 2).cast("int")).alias("a"),
-            F.get("ranges", (i * 2 + 1).cast("int")).alias("b")))).alias("r"))
+    each = F.transform(F.sequence(F.lit(0), (F.size("ranges") / 2).cast("int") - 1), lambda i:
+                       F.struct(F.get("ranges", i * 2).alias("a"),
+                                F.get("ranges", i * 2 + 1).alias("b")))
+    placed = mixed.join(found, ["g", "s"]).select(
+        "k1", "k2", (F.col("at") - F.col("before")).alias("base"), F.explode(each).alias("r"))
     return whole.union(placed.select("k1", "k2", F.col("base") + F.col("r.a"),
                                      F.col("base") + F.col("r.b")))
 

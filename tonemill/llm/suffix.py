@@ -39,7 +39,7 @@ LENGTH = 400
 GRAM = 256
 #: Stretches of one anchor that a shard takes; anchors with more are counted by hash.
 MOST_STRETCHES = 2000
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 18
 #: Tables of up to so many rows are sent to all executors instead of shuffling the other side.
 BROADCAST_ROWS = 2_000_000
 
@@ -234,7 +234,7 @@ def _in_shards(rows: DataFrame, length: int) -> DataFrame:
     return rows.groupBy("shard").applyInArrow(run, "g long, s long, ranges array<int>")
 
 
-def _by_hash(rows: DataFrame, length: int, pieces: int = 8) -> DataFrame:
+def _by_hash(rows: DataFrame, length: int, pieces: int = 4) -> DataFrame:
     """The same for anchors with very many stretches: their strings are counted by hash.
 
     The places of an anchor in its strings are cut into ``pieces``. All strings of one piece hold

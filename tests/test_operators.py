@@ -242,3 +242,11 @@ def test_vocabulary_sets(spark):
     assert rate == pytest.approx({"raw": 2 / 3, "cleaned": 2 / 3})
     exact = {r["variant"]: r["n_tokens"] for r in profile.vocab_size(docs).collect()}
     assert exact == {r["variant"]: r["n_tokens"] for r in profile.vocab_size(docs, approximate=True).collect()}
+
+
+def test_one_class_has_no_area_and_leaves_other_models_alone(spark):
+    rows = spark.createDataFrame(
+        [("a", "s", 1, 1, 1, .9), ("a", "s", 2, 0, 0, .2), ("b", "s", 3, 1, 1, .5)],
+        "model string, split string, ID long, label int, prediction int, score double")
+    assert {r.model: r.auc for r in metrics.roc_auc(rows).collect()} == {"a": 1.0, "b": None}
+    assert metrics.roc_points(rows).filter("model = 'b'").count() == 2

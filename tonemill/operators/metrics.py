@@ -134,8 +134,8 @@ def roc_points(scored: DataFrame) -> DataFrame:
     first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
     bend = (F.col("next.pos") != F.col("pos")) | (F.col("next.neg") != F.col("neg"))
     corner = F.struct(F.col("score").alias("threshold"),
-                      (F.col("fp") / F.col("n_neg")).alias("fpr"),
-                      (F.col("tp") / F.col("n_pos")).alias("tpr"))
+                      F.try_divide("fp", "n_neg").alias("fpr"),
+                      F.try_divide("tp", "n_pos").alias("tpr"))
     origin = F.struct(F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"),
                       F.lit(0.0).alias("tpr"))
     points = F.when(first, F.array(origin, corner)).otherwise(F.array(corner))
@@ -144,10 +144,11 @@ def roc_points(scored: DataFrame) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
-    """Trapezoid area under the curve; equal scores count half."""
+    """Trapezoid area under the curve; equal scores count half, one class alone gives null."""
     area = F.col("neg") * (F.col("tp") - F.col("pos") / 2.0)
     return (cumulative_scores(scored).groupBy("model")
-            .agg((F.sum(area) / F.first("n_pos") / F.first("n_neg")).alias("auc")))
+            .agg(F.try_divide(F.try_divide(F.sum(area), F.first("n_pos")), F.first("n_neg"))
+                 .alias("auc")))
 
 
 def compare_models(scored: DataFrame) -> DataFrame:

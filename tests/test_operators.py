@@ -102,6 +102,9 @@ def test_batches_and_samples(spark):
     assert sorted(sizes.values()) == [40] + [64] * 15
     picked = Counter(r["Label"] for r in batches.stratified_sample(df, 0.05).collect())
     assert picked == {0: 45, 1: 5}
+    uneven = spark.range(399).select(F.col("id").alias("ID"), (F.col("id") < 58).cast("int").alias("Label"))
+    picked = Counter(r["Label"] for r in batches.stratified_sample(uneven, 0.05).collect())
+    assert picked == {0: 16, 1: 3}
     again = {r["ID"] for r in batches.stratified_sample(df, 0.05).collect()}
     assert again == {r["ID"] for r in batches.stratified_sample(df, 0.05).collect()}
 
@@ -250,3 +253,39 @@ def test_one_class_has_no_area_and_leaves_other_models_alone(spark):
         "model string, split string, ID long, label int, prediction int, score double")
     assert {r.model: r.auc for r in metrics.roc_auc(rows).collect()} == {"a": 1.0, "b": None}
     assert metrics.roc_points(rows).filter("model = 'b'").count() == 2
+
+
+def test_density_leaves_out_groups_without_spread(spark):
+    rows_ = [(0, 5), (1, 7), (1, 7), (1, 7), (2, 3), (2, 9), (2, 4)]
+    df = spark.createDataFrame(rows_, "Label int, length int")
+    got = profile.length_density(df).collect()
+    assert {r["Label"] for r in got} == {2} and all(r["density"] >= 0 for r in got)
+
+
+def test_empty_vocabulary_keeps_rows(spark):
+    df = spark.createDataFrame([(0, ["a"]), (1, [])], "ID long, terms array<string>")
+    fitted = tfidf.fit_tfidf(df, min_df=5)
+    assert [len(r["features"]) for r in fitted.transform(df).collect()] == [0, 0]
+    assert tfidf.weights_long(fitted, df).count() == 0
+    assert tfidf.top_ngrams(df.filter("ID > 5")).count() == 0
+
+
+def test_weights_without_a_bound_equal_the_bounded_form(spark):
+    df = spark.createDataFrame([(0, ["a", "b", "a"]), (1, ["b"]), (2, [])], "ID long, terms array<string>")
+    want = {(r["ID"], r["term"]): r["weight"] for r in tfidf.weights(df, df, min_df=1).collect()}
+    got = {(r["ID"], r["term"]): r["weight"] for r in tfidf.weights(df, df, min_df=1, max_features=None).collect()}
+    assert len(got) == 3 and got == pytest.approx(want)
+
+
+def test_no_draws_give_an_empty_search(spark):
+    from tonemill.models.search import search_params
+
+    assert search_params(spark, {"x": ("int", 1, 2)}, 0, 1, lambda p: 0.0).count() == 0
+
+
+def test_cleaning_needs_no_shuffle(spark, sf):
+    from tonemill.queries import QUERIES
+
+    for name in ("clean_frequency", "clean_embedding", "clean_contextual", "ws_tokens", "word_tokens", "char_length"):
+        plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan, name

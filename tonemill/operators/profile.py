@@ -139,7 +139,8 @@ def length_density(lengths: DataFrame, by: str = "Label", bins: int = HIST_BINS,
     """Gaussian kernel density of length per group on an even grid, scaled to histogram counts.
 
     Rows are first reduced to distinct lengths with counts; each then adds its kernel to the
-    grid. Bandwidth is Scott's rule with the sample standard deviation.
+    grid. Bandwidth is Scott's rule with the sample standard deviation. A group of one row or of
+    equal lengths has no bandwidth and gets no curve.
     """
     counts = _with_range(lengths, by, True)
     mean = F.sum(F.col("n") * F.col("length")) / F.sum("n")
@@ -147,8 +148,10 @@ def length_density(lengths: DataFrame, by: str = "Label", bins: int = HIST_BINS,
     total = F.sum("n")
     stats = counts.groupBy(by).agg(
         total.alias("total"),
-        (F.sqrt((square - total * mean * mean) / (total - 1))
-         * F.pow(total.cast("double"), F.lit(-0.2))).alias("bandwidth"))
+        F.when(F.min("length") < F.max("length"), F.sqrt(
+            F.try_divide(square - total * mean * mean, total - 1))
+            * F.pow(total.cast("double"), F.lit(-0.2))).alias("bandwidth")
+    ).filter(F.col("bandwidth").isNotNull())
     width = (F.col("hi") - F.col("lo")).cast("double")
     grid = F.col("lo") + F.col("point") * width / float(points - 1)
     u = (F.col("x") - F.col("length")) / F.col("bandwidth")

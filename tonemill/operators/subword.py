@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tonemill.constants import CLS, CONTINUATION, MAX_LEN, MAX_WORD_CHARS, PAD, SEP, UNK
 from tonemill.functions.cleaning import SPACE
 from tonemill.functions.tokens import value_positions
+from tonemill.plans.materialize import materialize
 
 # Tokens outside letters, digits and spaces stand alone.
 _PUNCT = r"\p{P}$+<=>^`|~"
@@ -33,18 +34,19 @@ def _vocab_side(vocab: DataFrame) -> tuple[DataFrame, int]:
     return (F.broadcast(vocab) if size <= BROADCAST_TOKENS else vocab), longest
 
 
-def segment_words(distinct_words: DataFrame, vocab: DataFrame) -> DataFrame:
+def segment_words(distinct_words: DataFrame, vocab: DataFrame,
+                  max_chars: int = MAX_WORD_CHARS) -> DataFrame:
     """``(word, ids, pieces)``: greedy longest match from the left.
 
     All substrings of a word (no longer than the longest vocabulary token) are looked up; the
     longest match per start is kept, and a walk from position 0 picks the pieces. A word with a
-    gap, or longer than a word may be, is the unknown token. ``distinct_words`` is partitioned
+    gap, or of more than ``max_chars`` characters, is the unknown token. ``distinct_words`` is partitioned
     by word already, so with a broadcast vocabulary nothing here is shuffled again.
     """
     side, longest = _vocab_side(vocab)
     word, n = F.col("word"), F.length("word")
     # A word that is too long keeps one candidate, so that it stays in the result.
-    last = F.when(n <= MAX_WORD_CHARS, n).otherwise(F.lit(1))
+    last = F.when(n <= max_chars, n).otherwise(F.lit(1))
     candidates = (
         distinct_words.withColumn("start", F.explode(F.sequence(F.lit(1), last)))
         .withColumn("len", F.explode(F.sequence(
@@ -76,14 +78,18 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def subword_tokens(df: DataFrame, vocab: DataFrame, text: str = "Processed",
-                   keys: tuple[str, ...] = ("ID",)) -> DataFrame:
+                   keys: tuple[str, ...] = ("ID",), max_chars: int = MAX_WORD_CHARS) -> DataFrame:
     """``(keys, ids, pieces)`` of every text, whole; empty texts keep their row.
 
+    Texts are cleaned and split once, into a written table that all later steps read.
+
     Positions are gathered per text and word first, without a shuffle, so a frequent word meets
     its pieces once per text; adaptive skew handling splits what is left of a hot word.
     """
-    rows = df.select(*keys, F.inline(value_positions(words(F.col(text)))).alias("word", "positions"))
-    segmented = segment_words(rows.select("word").distinct(), vocab)
+    every = materialize(df.select(*keys, F.inline_outer(
+        value_positions(words(F.col(text)))).alias("word", "positions")), "words")
+    rows, empty = every.filter("word IS NOT NULL"), every.filter("word IS NULL")
+    segmented = segment_words(rows.select("word").distinct(), vocab, max_chars)
     placed = rows.join(segmented, "word").select(
         *keys, F.transform("positions", lambda p: F.struct(
             p.alias("pos"), F.col("ids"), F.col("pieces"))).alias("placed"))
@@ -93,9 +99,7 @@ def subword_tokens(df: DataFrame, vocab: DataFrame, text: str = "Processed",
         *keys,
         F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"),
         F.array_join(F.transform("parts", lambda p: p["pieces"]), " ").alias("pieces"))
-    return df.select(*keys).join(joined, list(keys), "left").select(
-        *keys, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
-        F.coalesce("pieces", F.lit("")).alias("pieces"))
+    return joined.union(empty.select(*keys, F.array().cast("array<int>"), F.lit("")))
 
 
 def sequence_lengths(segmented: DataFrame, keys: tuple[str, ...] = ("ID",)) -> DataFrame:

@@ -11,6 +11,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -82,6 +83,9 @@ class TfIdf:
         return PipelineModel([counter, weigh, unit])
 
     def transform(self, df: DataFrame, terms: str = "terms", output: str = "features") -> DataFrame:
+        """Every row with its vector; without any term known, vectors are empty."""
+        if not self.terms:
+            return df.withColumn(output, array_to_vector(F.array().cast("array<double>")))
         return (self.model(terms, output).transform(df)
                 .drop(f"{output}_tf", f"{output}_idf"))
 
@@ -90,7 +94,7 @@ def fit_tfidf(df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,
               max_features: int = TFIDF_MAX_FEATURES) -> TfIdf:
     """Fit on the rows of ``df``. The vocabulary is bounded by ``max_features``."""
     if max_features > MODEL_TERMS:
-        raise ValueError(f"more than {MODEL_TERMS} features: use weights_by_join")
+        raise ValueError(f"more than {MODEL_TERMS} features: use weights")
     vocabulary = fit_idf(fit_vocabulary(df, terms, min_df, max_features), row_count(df))
     rows = vocabulary.orderBy(F.desc("tf"), "term").select("term", "idf").toPandas()
     return TfIdf(rows["term"].tolist(), rows["idf"].to_numpy())
@@ -114,20 +118,34 @@ def weights_long(tfidf: TfIdf, df: DataFrame, terms: str = "terms",
     return entries.join(F.broadcast(names), "index").select(*keep, "term", "weight")
 
 
-def weights_by_join(vocabulary: DataFrame, df: DataFrame, terms: str = "terms") -> DataFrame:
-    """The same weights for a vocabulary of any size: a join on the term, then one on ID.
+def weights(train: DataFrame, df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,
+            max_features: int | None = TFIDF_MAX_FEATURES,
+            keep: tuple[str, ...] = ("ID",)) -> DataFrame:
+    """``(keep, term, weight)`` of ``df`` by a vocabulary of any size fitted on ``train``.
+
+    ``max_features=None`` sets no bound; such a vocabulary stays a table. Rows are the same.
+    """
+    if max_features is not None and max_features <= MODEL_TERMS:
+        return weights_long(fit_tfidf(train, terms, min_df, max_features), df, terms, keep)
+    vocabulary = fit_idf(fit_vocabulary(train, terms, min_df, max_features), row_count(train))
+    return weights_by_join(vocabulary, df, terms, keep)
+
+
+def weights_by_join(vocabulary: DataFrame, df: DataFrame, terms: str = "terms",
+                    keep: tuple[str, ...] = ("ID",)) -> DataFrame:
+    """The same weights for a vocabulary of any size: a join on the term, then one on the key.
 
     ``vocabulary`` has ``term, idf``. Terms are counted within each row first, so a frequent
     term meets each row once; adaptive skew handling splits what is left of a hot term.
     """
-    counted = df.select("ID", F.inline(value_counts(F.col(terms))))
+    counted = df.select(*keep, F.inline(value_counts(F.col(terms))))
     weighted = counted.join(vocabulary.select("term", "idf"), "term").select(
-        "ID", "term", (F.col("tf") * F.col("idf")).alias("raw"))
-    rows = weighted.groupBy("ID").agg(
+        *keep, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+    rows = weighted.groupBy(*keep).agg(
         F.collect_list(F.struct("term", "raw")).alias("entries"),
         F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
-    return (rows.select("ID", "norm", F.inline("entries"))
-            .select("ID", "term", (F.col("raw") / F.col("norm")).alias("weight")))
+    return (rows.select(*keep, "norm", F.inline("entries"))
+            .select(*keep, "term", (F.col("raw") / F.col("norm")).alias("weight")))
 
 
 def top_ngrams(df: DataFrame, terms: str = "terms", max_features: int = 2000,

@@ -28,22 +28,14 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores on a table of few files; a table of many files is scanned as it lies."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if len(df.inputFiles()) < cores else df
-
-
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "documents").select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("ID"), F.col("text").alias("Text"))
-    return _spread(texts, "ID")
 
 
 def conversations(spark: SparkSession, sf: str) -> DataFrame:
-    texts = table(spark, sf, "conversations").select(
+    return table(spark, sf, "conversations").select(
         (F.col("conv_id") * 1000000 + F.col("turn")).alias("ID"), F.col("text").alias("Text"))
-    return _spread(texts, "ID")
 
 
 def benchmark(spark: SparkSession, sf: str) -> DataFrame:
@@ -136,15 +128,16 @@ def vector_dim(spark: SparkSession, sf: str) -> int:
     return table(spark, sf, "embeddings").select(F.size("embedding")).first()[0]
 
 
-def subword_vocab(spark: SparkSession, sf: str) -> DataFrame:
-    """``token, id``: special tokens, all characters and their continuations, frequent words."""
+def subword_vocab(spark: SparkSession, sf: str, n_words: int = VOCAB_WORDS) -> DataFrame:
+    """``token, id``: special tokens, all characters and their continuations, and the ``n_words``
+    most frequent words, as the vocabulary file of a tokenizer would hold them."""
     def write(path: str) -> None:
         texts = clean(documents(spark, sf), "contextual")
         tokens = texts.select(F.explode(words(F.col("Processed"))).alias("token"))
         counts = tokens.groupBy("token").agg(F.count("*").alias("n"))
         chars = counts.select(F.explode(F.split("token", "")).alias("token")).filter(
             "token != ''").distinct()
-        frequent = counts.orderBy(F.desc("n"), "token").limit(VOCAB_WORDS).select("token")
+        frequent = counts.orderBy(F.desc("n"), "token").limit(n_words).select("token")
         body = (chars.union(chars.select(F.concat(F.lit(CONTINUATION), "token")))
                 .union(frequent).distinct())
         special = [PAD, UNK, CLS, SEP]
@@ -153,7 +146,7 @@ def subword_vocab(spark: SparkSession, sf: str) -> DataFrame:
             (F.col("idx") + len(special)).cast("int").alias("id"), "token")
         numbered.unionByName(names).write.parquet(path)
 
-    path = once(spark, sf, "subwords", write)
+    path = once(spark, sf, f"subwords_{n_words}", write)
     return spark.read.schema("id int, token string").parquet(path)
 
 

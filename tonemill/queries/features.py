@@ -11,6 +11,7 @@ from tonemill.constants import (CLS, CONTINUATION, HIST_BINS, MAX_LEN, PAD, PROF
 from tonemill.functions.tokens import ws_tokens
 from tonemill.operators import profile, subword, tfidf, vectors
 from tonemill.operators.rows import clean, filter_class
+from tonemill.plans.materialize import materialize
 from tonemill.queries import corpus, sql
 from tonemill.queries.registry import query
 
@@ -42,8 +43,8 @@ w AS (SELECT t.split, t.ID, t.term, t.tf * v.idf AS raw FROM t JOIN v ON t.term
 SELECT split, ID, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY split, ID)), 6) AS weight FROM w""")
 def tfidf_weights(spark, sf):
     """Fitted on the training texts, applied to all three splits."""
-    fitted = tfidf.fit_tfidf(_with_terms(corpus.documents(spark, sf)))
-    return (tfidf.weights_long(fitted, _with_terms(corpus.splits(spark, sf)), keep=("split", "ID"))
+    rows = materialize(_with_terms(corpus.splits(spark, sf)).select("split", "ID", "terms"), "terms")
+    return (tfidf.weights(rows.filter("split = 'train'"), rows, keep=("split", "ID"))
             .withColumn("weight", F.round("weight", 6)))
 
 
@@ -64,6 +65,7 @@ SELECT term, round(sum(weight), 6) AS score FROM u GROUP BY term ORDER BY sum(we
         stop = StopWordsRemover.loadDefaultStopWords("english")
         rows = filter_class(corpus.labelled(spark, sf), label).withColumn(
             "terms", tfidf.term_array(F.col("Text"), stop, (lo, hi)))
+        rows = materialize(rows.select("terms"), "terms")
         return (tfidf.top_ngrams(rows, max_features=PROFILE_MAX_FEATURES)
                 .withColumn("score", F.round("score", 6)))
 
@@ -74,12 +76,13 @@ _top_ngrams("top_ngrams_neg", 0)
 
 @query("vector_lookup", f"""
 WITH t AS (SELECT ID, unnest({sql.tokens('Processed')}) AS token FROM ({sql.cleaned()}))
-SELECT t.ID, t.token, round(CAST(v.vector[1] AS DOUBLE), 6) + 0.0 AS first_value FROM t JOIN ({sql.VECTORS}) v ON t.token = v.token""")
+SELECT t.ID, t.token, array_to_string(list_transform(v.vector, lambda x: CAST(round(CAST(x AS DOUBLE) * 1000000) AS BIGINT)), ',') AS micros FROM t JOIN ({sql.VECTORS}) v ON t.token = v.token""")
 def vector_lookup(spark, sf):
+    """All components, in millionths, so that both sides print them alike."""
     tokens = profile.token_rows(corpus.cleaned(spark, sf), ws_tokens(F.col("Processed")), ["ID"])
     return vectors.lookup_vectors(tokens, corpus.word_vectors(spark, sf)).select(
-        "ID", "token",
-        (F.round(F.get("vector", F.lit(0)).cast("double"), 6) + 0.0).alias("first_value"))
+        "ID", "token", F.array_join(F.transform("vector", lambda x: F.round(
+            x.cast("double") * 1000000).cast("long").cast("string")), ",").alias("micros"))
 
 
 @query("mean_pool", f"""

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tonemill.constants import (BATCH_SIZE, CURVE_STEPS, FOLDS, HIST_BINS, KDE_POINTS, SEED,
                                 TOP_N)
+from tonemill.functions.tokens import char_length
 from tonemill.operators import batches, profile, rows, trials
 from tonemill.queries import corpus, sql
 from tonemill.queries.registry import query
@@ -79,7 +80,11 @@ def vocab_kept(spark, sf):
     return profile.vocab_kept(*_vocabularies(spark, sf))
 
 
-_LENGTHS = "SELECT ID, Label, n_chars AS length FROM (" + _LABEL_SPLIT + ")"
+_LENGTHS = f"SELECT ID, Label, length(Text) AS length FROM ({sql.LABELLED})"
+
+
+def _text_lengths(spark, sf):
+    return corpus.labelled(spark, sf).select("Label", char_length(F.col("Text")).alias("length"))
 
 
 @query("length_hist", f"""
@@ -91,8 +96,7 @@ SELECT g.Label, CAST(g.bin AS INTEGER) AS bin, round(lo + g.bin * ((hi - lo) / {
        round(lo + (g.bin + 1) * ((hi - lo) / {HIST_BINS}.0::DOUBLE), 6) AS bin_end, CAST(coalesce(b.n, 0) AS BIGINT) AS n
 FROM g CROSS JOIN s LEFT JOIN b ON g.Label = b.Label AND g.bin = b.bin""")
 def length_hist(spark, sf):
-    lengths = corpus.label_rows(spark, sf).select("Label", F.col("n_chars").alias("length"))
-    return profile.length_histogram(lengths).select(
+    return profile.length_histogram(_text_lengths(spark, sf)).select(
         "Label", "bin", F.round("bin_start", 6).alias("bin_start"),
         F.round("bin_end", 6).alias("bin_end"), "n")
 
@@ -106,8 +110,7 @@ SELECT x.Label, CAST(g.point AS INTEGER) AS point, round(any_value(g.at), 6) AS
        round(sum(exp(-0.5 * pow((g.at - x.length) / c.h, 2)) / (c.h * sqrt(2 * pi()))) * any_value(g.w), 6) AS density
 FROM x JOIN c ON x.Label = c.Label CROSS JOIN g GROUP BY x.Label, g.point""")
 def length_kde(spark, sf):
-    lengths = corpus.label_rows(spark, sf).select("Label", F.col("n_chars").alias("length"))
-    return profile.length_density(lengths).select(
+    return profile.length_density(_text_lengths(spark, sf)).select(
         "Label", "point", F.round("x", 6).alias("x"), F.round("density", 6).alias("density"))
 
 
@@ -171,10 +174,13 @@ def shuffled_batches(spark, sf):
 
 
 @query("stratified_sample", f"""
-SELECT ID, Label FROM (
-  SELECT ID, Label, row_number() OVER (PARTITION BY Label ORDER BY {_HASH}, ID) AS rn,
-         count(*) OVER (PARTITION BY Label) AS n FROM ({sql.LABELLED}))
-WHERE rn <= round(n * 0.05::DOUBLE)""")
+WITH x AS (SELECT ID, Label, row_number() OVER (PARTITION BY Label ORDER BY {_HASH}, ID) AS rn FROM ({sql.LABELLED})),
+c AS (SELECT Label, count(*) AS n FROM x GROUP BY Label),
+t AS (SELECT CAST(sum(n) AS BIGINT) AS total, CAST(floor(sum(n) * 0.05::DOUBLE) AS BIGINT) AS take FROM c),
+s AS (SELECT Label, take, take * n // total AS part,
+             row_number() OVER (ORDER BY take * n % total DESC, Label NULLS FIRST) AS turn FROM c, t),
+q AS (SELECT Label, part + CAST(turn <= take - sum(part) OVER () AS BIGINT) AS quota FROM s)
+SELECT x.ID, x.Label FROM x JOIN q ON x.Label IS NOT DISTINCT FROM q.Label WHERE x.rn <= q.quota""")
 def stratified_sample(spark, sf):
     labelled = corpus.label_rows(spark, sf).select("ID", "Label")
     return batches.stratified_sample(labelled, 0.05)

@@ -1,0 +1,223 @@
+"""Many logistic fits on subsets of one table, all stepped together.
+
+Every pass over the rows returns loss and gradient of all fits that are not done. Tasks sum
+their own rows; the partial gradients are then added in a shuffle keyed by fit and block of
+coefficients. Only the step rule (limited-memory quasi-Newton with backtracking) runs on the
+driver, on ``fits x (features + 1)`` numbers and ``2 * MEMORY`` times as many of history.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+#: Pairs of step and gradient change that a fit remembers.
+MEMORY = 8
+#: Coefficients of one row of partial gradients.
+BLOCK = 4096
+#: Products held at once in a task.
+CELLS = 1 << 22
+
+
+@dataclass
+class Fits:
+    """Coefficients (one column per fit, intercept last), objectives and largest gradients."""
+
+    weights: np.ndarray
+    objective: np.ndarray
+    gradient: np.ndarray
+    passes: int
+    converged: np.ndarray
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values of a list column and where each list starts."""
+    offsets = column.offsets.to_numpy()
+    return column.flatten().to_numpy(zero_copy_only=False), offsets - offsets[0]
+
+
+def _chunks(batch: pa.RecordBatch, n_fits: int) -> Iterator[tuple]:
+    """``rows, row of each entry, indices, values`` of runs of rows with a bounded product."""
+    indices, offsets = _flat(batch.column("indices"))
+    values, _ = _flat(batch.column("values"))
+    most = max(1, CELLS // max(1, n_fits))
+    a = 0
+    while a < batch.num_rows:
+        b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
+        b = min(b, batch.num_rows)
+        part = slice(offsets[a], offsets[b])
+        row = np.repeat(np.arange(b - a), np.diff(offsets[a: b + 1]))
+        yield slice(a, b), row, indices[part], values[part]
+        a = b
+
+
+def _row_sums(terms: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted key and the sums of their rows."""
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return key[start], np.add.reduceat(terms, start, axis=0)
+
+
+def margins(weights: np.ndarray, n: int, row: np.ndarray, indices: np.ndarray,
+            values: np.ndarray) -> np.ndarray:
+    """Rows times coefficients, one column per fit."""
+    z = np.tile(weights[-1], (n, 1))
+    if len(row):
+        at, sums = _row_sums(weights[indices] * values[:, None], row)
+        z[at] += sums
+    return z
+
+
+def _members(batch: pa.RecordBatch, fits: list[tuple[int, int]]) -> np.ndarray:
+    """Which fits ``(size, held_out)`` a row trains: those whose prefix of the fold holds it."""
+    k = max(held_out for _, held_out in fits) + 1
+    places, _ = _flat(batch.column("places"))
+    places = places.reshape(batch.num_rows, -1)[:, :k]
+    return np.stack([places[:, f] < size for size, f in fits], axis=1)
+
+
+def _evaluate(rows: DataFrame, weights: np.ndarray, fits: list[tuple[int, int]],
+              c: float) -> tuple[np.ndarray, np.ndarray]:
+    """Objective and gradient of every fit at its coefficients, in one pass."""
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        w = sent.value
+        grad, loss = np.zeros_like(w), np.zeros(len(fits))
+        for batch in batches:
+            label = batch.column("label").to_numpy()
+            member = _members(batch, fits)
+            for at, row, indices, values in _chunks(batch, len(fits)):
+                z = margins(w, at.stop - at.start, row, indices, values)
+                y, m = label[at, None], member[at]
+                loss += (np.logaddexp(0.0, z) - y * z).sum(axis=0, where=m)
+                residual = np.where(m, 1 / (1 + np.exp(-np.clip(z, -700, 700))) - y, 0.0)
+                grad[-1] += residual.sum(axis=0)
+                if len(row):
+                    order = np.argsort(indices, kind="stable")
+                    column, sums = _row_sums(
+                        residual[row[order]] * values[order, None], indices[order])
+                    grad[column] += sums
+        for f in range(len(fits)):
+            # The loss travels as one more coefficient.
+            whole = np.append(grad[:, f], loss[f])
+            pieces = [whole[i: i + BLOCK] for i in range(0, len(whole), BLOCK)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(pieces), f, np.int32)),
+                 pa.array(np.arange(len(pieces), dtype=np.int32)),
+                 pa.array(pieces, pa.list_(pa.float64()))], ["fit", "block", "part"])
+
+    partial = rows.select("indices", "values", "label", "places").mapInArrow(
+        run, "fit int, block int, part array<double>")
+    summed = partial.groupBy("fit", "block").agg(
+        vector_to_array(Summarizer.sum(array_to_vector("part"))).alias("part")).toArrow()
+    sent.unpersist()
+    total = np.zeros((weights.shape[0] + 1, len(fits)))
+    for fit, block, part in zip(summed["fit"].to_pylist(), summed["block"].to_pylist(),
+                                summed["part"]):
+        total[block * BLOCK: block * BLOCK + len(part), fit] = part.values.to_numpy()
+    penalty = (weights[:-1] ** 2).sum(axis=0) / 2
+    gradient = c * total[:-1]
+    gradient[:-1] += weights[:-1]
+    return c * total[-1] + penalty, gradient
+
+
+def _direction(gradient: np.ndarray, pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Downhill by the inverse curvature that the remembered pairs show."""
+    q, kept = gradient.copy(), []
+    for s, y in reversed(pairs):
+        a = s @ q / (s @ y)
+        kept.append(a)
+        q -= a * y
+    if pairs:
+        s, y = pairs[-1]
+        q *= s @ y / (y @ y)
+    for (s, y), a in zip(pairs, reversed(kept)):
+        q += s * (a - y @ q / (s @ y))
+    return -q
+
+
+def fit_many(rows: DataFrame, n_features: int, fits: list[tuple[int, int]], c: float,
+             max_iter: int, tol: float) -> Fits:
+    """Minimise ``c * sum(loss) + |w|^2 / 2`` for each ``(size, held_out)`` of ``fits``.
+
+    ``rows`` has ``indices, values`` (a sparse vector), ``label`` (0 or 1) and ``places``, the
+    row's position among the training rows of each held-out fold, past all sizes in its own. A
+    fit is done when ``|gradient|^2 / 2``, which bounds what its objective can still lose to
+    the penalised coefficients, is at most ``tol`` of the objective. Pairs are kept for at most
+    ``max_iter`` steps; fits without rows keep zero coefficients.
+    """
+    n = len(fits)
+    weights = np.zeros((n_features + 1, n))
+    value, gradient = _evaluate(rows, weights, fits, c) if n else (np.zeros(0), weights.copy())
+    passes = 1
+    pairs: list[list] = [[] for _ in fits]
+    step, moves = np.zeros(n), np.zeros_like(weights)
+    steps = np.zeros(n, int)
+
+    def done(f: int) -> bool:
+        return gradient[:, f] @ gradient[:, f] / 2 <= tol * max(value[f], 1e-300)
+
+    def aim(f: int) -> None:
+        moves[:, f] = _direction(gradient[:, f], pairs[f])
+        step[f] = 1.0 if pairs[f] else 1 / np.linalg.norm(gradient[:, f])
+
+    active = [f for f in range(n) if not done(f)]
+    for f in active:
+        aim(f)
+    while active:
+        trial = weights[:, active] + step[active] * moves[:, active]
+        new_value, new_gradient = _evaluate(rows, trial, [fits[f] for f in active], c)
+        passes += 1
+        still = []
+        for i, f in enumerate(active):
+            slope = gradient[:, f] @ moves[:, f]
+            if new_value[i] > value[f] + 1e-4 * step[f] * slope:
+                step[f] /= 2
+                if step[f] > 1e-12:
+                    still.append(f)
+                continue
+            pair = trial[:, i] - weights[:, f], new_gradient[:, i] - gradient[:, f]
+            if pair[0] @ pair[1] > 0:
+                pairs[f] = [*pairs[f][1 - MEMORY:], pair]
+            weights[:, f], value[f], gradient[:, f] = trial[:, i], new_value[i], new_gradient[:, i]
+            steps[f] += 1
+            if not done(f) and steps[f] < max_iter:
+                aim(f)
+                still.append(f)
+        active = still
+    largest = np.abs(gradient).max(axis=0) if n else np.zeros(0)
+    return Fits(weights, value, largest, passes, np.array([done(f) for f in range(n)], bool))
+
+
+def count_hits(rows: DataFrame, weights: np.ndarray, fits: list[tuple[int, int]]) -> DataFrame:
+    """``fit, n_train, train_hits, n_test, test_hits``: right labels inside a fit and its fold."""
+    sent = rows.sparkSession.sparkContext.broadcast(weights)
+    names = ("n_train", "train_hits", "n_test", "test_hits")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(names), len(fits)), np.int64)
+        held_out = np.array([f for _, f in fits])
+        for batch in batches:
+            label, fold = batch.column("label").to_numpy(), batch.column("fold").to_numpy()
+            member = _members(batch, fits)
+            for at, row, indices, values in _chunks(batch, len(fits)):
+                z = margins(sent.value, at.stop - at.start, row, indices, values)
+                hit = (z > 0) == (label[at, None] == 1)
+                outside = fold[at, None] == held_out
+                for i, inside in enumerate((member[at], outside)):
+                    total[2 * i] += inside.sum(axis=0)
+                    total[2 * i + 1] += (inside & hit).sum(axis=0)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(len(fits), dtype=np.int32)), *map(pa.array, total)],
+            ["fit", *names])
+
+    schema = "fit int, " + ", ".join(f"{c} long" for c in names)
+    return (rows.select("indices", "values", "label", "fold", "places").mapInArrow(run, schema)
+            .groupBy("fit").agg(*[F.sum(c).alias(c) for c in names]))

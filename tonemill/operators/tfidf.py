@@ -107,6 +107,15 @@ def sparse_entries(features: Column) -> Column:
         i.alias("index"), F.get(raw["values"], k).alias("weight")))
 
 
+def entry_arrays(features: Column) -> list[Column]:
+    """``indices`` and ``values`` of a vector column; a dense vector holds every index."""
+    raw = F.unwrap_udt(features)
+    every = F.when(F.size(raw["values"]) > 0,
+                   F.sequence(F.lit(0), F.size(raw["values"]) - 1)).otherwise(
+        F.array().cast("array<int>"))
+    return [F.coalesce(raw["indices"], every).alias("indices"), raw["values"].alias("values")]
+
+
 def weights_long(tfidf: TfIdf, df: DataFrame, terms: str = "terms",
                  keep: tuple[str, ...] = ("ID",)) -> DataFrame:
     """Weights as rows ``(ID, term, weight)``; rows without a known term give none."""

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tonemill.models import logistic, mlp, scoring, search
+from tonemill.models import logistic, manyfits, mlp, scoring, search
 from tonemill.operators import batches, metrics, tfidf
 from tonemill.sources import tables
 
@@ -84,8 +84,52 @@ def test_search_draws(spark):
 def test_learning_curve_sizes(points):
     _, _, df = points
     folds = batches.stratified_folds(df.select("ID", "label"), k=3, label="label")
-    curve = search.learning_curve(df, folds, 2.0, k=3, steps=4, parallelism=4).orderBy("n_train").collect()
+    curve = search.learning_curve(df, folds, 2.0, k=3, steps=4).orderBy("n_train").collect()
     n = [r["n_train"] for r in curve]
     first = folds.filter("fold <> 0").count()
     assert n == [math.floor(first * i / 4) for i in range(1, 5)]
     assert all(0.5 < r["test_mean"] <= 1 and r["test_std"] >= 0 for r in curve)
+    assert all(r["at_optimum"] and r["fits"] == 3 and r["held_out_rows"] == 120 for r in curve)
+    assert search.learning_curve(df.limit(0), folds.limit(0), 2.0, k=3, steps=4).count() == 0
+
+
+def test_joint_fits_reach_the_optimum_of_single_ones(spark, points):
+    x, y, df = points
+    rows = df.withColumn("places", F.array(F.col("ID"), 119 - F.col("ID"))).select(
+        "label", "places", *tfidf.entry_arrays(F.col("features"))).persist()
+    fits = [(40, 0), (120, 0), (70, 1)]
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    found = manyfits.fit_many(rows, 3, fits, 2.0, 200, 1e-9)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
+    assert found.converged.all() and found.passes < 60
+    assert jobs <= 3 * found.passes  # passes, not fits, set the number of jobs
+    for i, used in enumerate((np.arange(120) < 40, np.ones(120, bool), 119 - np.arange(120) < 70)):
+        w, b = found.weights[:-1, i], found.weights[-1, i]
+        z = x[used] @ w + b
+        value = 2.0 * (np.logaddexp(0, z) - y[used] * z).sum() + w @ w / 2
+        assert abs(value - found.objective[i]) < 1e-8 * value
+        few = df.filter(F.col("ID").isin(np.flatnonzero(used).tolist()))
+        single = logistic.fit_logistic(few, c=2.0, tol=1e-12)
+        w1 = single.coefficients.toArray()
+        z = x[used] @ w1 + single.intercept
+        best = 2.0 * (np.logaddexp(0, z) - y[used] * z).sum() + w1 @ w1 / 2
+        assert abs(value - best) < 1e-6 * best
+        assert logistic.excess(single, few, c=2.0) < 1e-6
+    rows.unpersist()
+
+
+def test_joint_fits_of_one_class_and_of_no_entries(spark):
+    rows = spark.createDataFrame(
+        [([0], [1.0], 1, [0, 0]), ([], [], 1, [1, 1]), ([0], [0.5], 0, [2, 9])],
+        "indices array<int>, values array<double>, label int, places array<long>")
+    found = manyfits.fit_many(rows, 1, [(2, 0), (3, 0), (0, 1)], 2.0, 200, 1e-9)
+    assert np.isfinite(found.weights).all() and found.weights[-1, 0] > 0
+    assert not found.weights[:, 2].any() and found.objective[2] == 0
+
+
+def test_draws_change_the_net(points):
+    _, _, df = points
+    base = {"H1": 6, "H2": 5, "H3": 4}
+    sizes = {len(mlp.fit_mlp(df, 3, list(p.values()), max_iter=2).weights)
+             for p in [base, *({**base, k: v + 1} for k, v in base.items())]}
+    assert len(sizes) == 4

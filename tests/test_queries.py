@@ -7,8 +7,6 @@ from check_queries import difference, duck
 
 from __spark_entry__ import entry, oracle_sql, queries
 
-SLOW = {"learning_curve", "param_search", "mlp_fit"}
-
 
 @pytest.fixture(scope="module")
 def con(sf):
@@ -25,7 +23,7 @@ def test_names():
     assert not any("pipeline" in name for name in queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(queries()))
 def test_query_equals_sql(spark, con, sf, name):
     got = queries()[name](spark, sf).toPandas()
     assert len(got)

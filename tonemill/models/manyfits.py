@@ -82,7 +82,7 @@ def _members(batch: pa.RecordBatch, fits: list[tuple[int, int]]) -> np.ndarray:
     return np.stack([places[:, f] < size for size, f in fits], axis=1)
 
 
-def _evaluate(rows: DataFrame, weights: np.ndarray, fits: list[tuple[int, int]],
+def evaluate(rows: DataFrame, weights: np.ndarray, fits: list[tuple[int, int]],
               c: float) -> tuple[np.ndarray, np.ndarray]:
     """Objective and gradient of every fit at its coefficients, in one pass."""
     sent = rows.sparkSession.sparkContext.broadcast(weights)
@@ -155,7 +155,7 @@ def fit_many(rows: DataFrame, n_features: int, fits: list[tuple[int, int]], c: f
     """
     n = len(fits)
     weights = np.zeros((n_features + 1, n))
-    value, gradient = _evaluate(rows, weights, fits, c) if n else (np.zeros(0), weights.copy())
+    value, gradient = evaluate(rows, weights, fits, c) if n else (np.zeros(0), weights.copy())
     passes = 1
     pairs: list[list] = [[] for _ in fits]
     step, moves = np.zeros(n), np.zeros_like(weights)
@@ -173,7 +173,7 @@ def fit_many(rows: DataFrame, n_features: int, fits: list[tuple[int, int]], c: f
         aim(f)
     while active:
         trial = weights[:, active] + step[active] * moves[:, active]
-        new_value, new_gradient = _evaluate(rows, trial, [fits[f] for f in active], c)
+        new_value, new_gradient = evaluate(rows, trial, [fits[f] for f in active], c)
         passes += 1
         still = []
         for i, f in enumerate(active):

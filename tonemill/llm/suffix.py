@@ -8,8 +8,10 @@ document or another. Four steps:
    the same place. An anchor's stretch is all bytes that such strings around it can cover.
 2. Anchors that occur once are done: nothing around them repeats. Where all stretches of an anchor
    are equal, all their bytes repeat.
-3. The rest, anchors with different stretches, meets in shards of bounded size, one copy of each
-   distinct stretch. There the stretches' suffixes are sorted to ``length`` bytes; backward
+3. The rest are anchors with different stretches. A string of ``length`` bytes holds either the
+   core that reaches half the way to the left of its anchor or the one that reaches half to the
+   right; a stretch that shares neither with another stretch of its anchor repeats nothing.
+   What is left meets in shards of bounded size, one copy of each distinct stretch. There the stretches' suffixes are sorted to ``length`` bytes; backward
    extension on the transform derives the common prefixes of neighbouring suffixes by increasing
    value, all strings of one length before the next, and stops at ``length``. Neighbours without
    a value by then share ``length`` bytes. Suffixes count as repeats of each other only at one
@@ -75,7 +77,11 @@ def _text_keys(text) -> list:
 
 def stretches(docs: DataFrame, length: int) -> DataFrame:
     """Every anchor: text ``k1, k2``, place ``at``, gram ``g``, and its stretch: ``before`` bytes
-    ahead of the anchor, ``size`` in all, hash ``s`` (with ``g``, 128 bits tell stretches apart)."""
+    ahead of the anchor, ``size`` in all, hash ``s`` (with ``g``, 128 bits tell stretches apart).
+    ``left`` and ``right`` are hashes of its cores, null where the text ends before."""
+    back = (length - GRAM + 1) // 2
+    ahead = length - GRAM - back + 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in buffers.slices(batch.column(2)):
@@ -95,6 +101,9 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                 start = np.maximum(offsets[rows], at - (length - GRAM))
                 end = np.minimum(offsets[rows + 1], at + length)
                 shape = ((at - start) * 4096 + (end - start)).astype(np.uint64)
+                low, high = at - back, at + GRAM + ahead
+                left = one.of(np.maximum(low, start), at + GRAM)
+                right = two.of(at, np.minimum(high, end))
                 take = pa.array(rows)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a).take(take),
@@ -102,11 +111,13 @@ def stretches(docs: DataFrame, length: int) -> DataFrame:
                      pa.array((at - offsets[rows]).astype(np.int32)), _signed(hashes[at]),
                      pa.array((at - start).astype(np.int32)),
                      pa.array((end - start).astype(np.int32)),
-                     _signed(buffers.mix(two.of(start, end) + shape))],
-                    ["k1", "k2", "at", "g", "before", "size", "s"])
+                     _signed(buffers.mix(two.of(start, end) + shape)),
+                     pa.array(left.view(np.int64), mask=low < start),
+                     pa.array(right.view(np.int64), mask=high > end)],
+                    ["k1", "k2", "at", "g", "before", "size", "s", "left", "right"])
 
     return docs.select("k1", "k2", "text").mapInArrow(
-        run, "k1 long, k2 long, at int, g long, before int, size int, s long")
+        run, "k1 long, k2 long, at int, g long, before int, size int, s long, left long, right long")
 
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
@@ -303,6 +314,19 @@ def _sent(rows: DataFrame) -> DataFrame:
     return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
 
 
+def _that_may_repeat(distinct: DataFrame) -> DataFrame:
+    """Stretches found twice or sharing a core with another stretch of their anchor."""
+    cores = distinct.select("g", F.explode(F.array("left", "right")).alias("core")).filter(
+        "core IS NOT NULL")
+    shared = materialize(cores.groupBy("g", "core").agg(F.count("*").alias("n")).filter(
+        "n > 1").select("g", "core", F.lit(True).alias("met")), "cores")
+    sent, rows = _sent(shared), distinct
+    for side in ("left", "right"):
+        rows = rows.join(sent.toDF("g", side, f"met_{side}"), ["g", side], "left")
+    return materialize(rows.filter("n > 1 OR met_left OR met_right").select(
+        "g", "s", "n", "k1", "k2", "at", "before", "size"), "distinct")
+
+
 def _stretch_bytes(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """``g, s, before, n, bytes``: one copy of each stretch that ``wanted`` names."""
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(
@@ -341,16 +365,22 @@ def repeated_ranges(docs: DataFrame, length: int, most_stretches: int, shard_byt
         "k1", "k2", (F.col("at") - F.col("before")).alias("start"),
         (F.col("at") - F.col("before") + F.col("size")).alias("end"))
     mixed = kept.filter("mixed")
-    distinct = materialize(mixed.groupBy("g", "s").agg(
-        F.count("*").alias("n"), F.min(F.struct("k1", "k2", "at", "before", "size")).alias("f")
-    ).select("g", "s", "n", "f.*"), "distinct")
+    distinct = _that_may_repeat(materialize(mixed.groupBy("g", "s").agg(
+        F.count("*").alias("n"),
+        F.min(F.struct("k1", "k2", "at", "before", "size", "left", "right")).alias("f")
+    ).select("g", "s", "n", "f.*"), "distinct"))
     sizes = distinct.groupBy("g").agg(F.count("*").alias("stretches"))
     parts = materialize(_stretch_bytes(docs, distinct), "parts")
-    crowded = materialize(sizes.filter(F.col("stretches") > most_stretches).select("g"), "crowded")
+    # An anchor that fills a shard gets one of its own, so that no two of them share a task's memory.
+    large = materialize(sizes.filter(
+        F.col("stretches") * (2 * length) > min(shard_bytes, most_stretches * 2 * length)), "large")
+    crowded = large.filter(F.col("stretches") > most_stretches).select("g")
     total = parts.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
     n_shards = max(1, -(-total // shard_bytes))
-    few = parts.join(crowded, "g", "left_anti").withColumn(
-        "shard", F.pmod(F.xxhash64("g"), F.lit(n_shards)).cast("int"))
+    few = parts.join(large, "g", "left").filter(
+        F.col("stretches").isNull() | (F.col("stretches") <= most_stretches)).withColumn(
+        "shard", F.when(F.col("stretches").isNull(), F.pmod(F.xxhash64("g"), F.lit(n_shards)))
+        .otherwise(-1 - F.col("g").bitwiseAND(F.lit(2**63 - 1)))).drop("stretches")
     found = _in_shards(few, length)
     if crowded.take(1):
         found = found.union(_by_hash(parts.join(crowded, "g"), length))

@@ -320,6 +320,18 @@ def test_leaks_are_found_and_clean_texts_left(spark, docs, nothing, bound):
     assert decontam.find_leaks(docs, held.limit(0)).count() == 0
 
 
+def test_items_of_any_length_are_found_at_any_offset():
+    rng = random.Random(9)
+    words = [f"w{i}x" for i in range(20_000)]
+    items = [(n, " ".join(rng.sample(words, n))) for n in (20, 64, 65, 97, 150, 200, 1000)]
+    index = decontam.Index(items)
+    for n, text in items:
+        texts = [" ".join(["pad"] * lead + [text] + ["end"] * 5) for lead in range(0, 97, 1 + n // 200)]
+        got = index.matches(pa.array(texts), decontam.THRESHOLD, decontam.OVERLAP)
+        assert [(r, i) for r, i, *_ in got] == [(r, n) for r in range(len(texts))]
+        assert all(score == pytest.approx(1, abs=1e-4) for _, _, score, _, _ in got)
+
+
 def test_top_k_is_exact(spark):
     rng = np.random.default_rng(6)
     rows = [(i, [float(x) for x in rng.normal(size=8)], 0) for i in range(300)]

@@ -1,8 +1,9 @@
 """Find training documents that contain benchmark items, by BM25 retrieval and overlap.
 
-The items form an inverted index. Every passage of a document (a window of words, half of it new
-each time) is a query; all items whose score reaches a share of their own best possible score are
-retrieved. Items stand in blocks; a block keeps, for each term, the largest score that the term
+The items form an inverted index. Every passage of a document (a window of words, a third of it
+new each time) is a query; all items whose score reaches a share of their own best possible score
+are retrieved. Items are classed by length: the passages of a class are so long that a copy of any
+of its items lies within one of them, wherever it begins. Items stand in blocks; a block keeps, for each term, the largest score that the term
 adds to any of its items. A block whose largest scores, summed over the passage's terms, stay
 below the threshold is skipped (block-max WAND), so nothing above the threshold is lost. Words
 are runs of letters and digits, A-Z lower-cased. What is
@@ -53,6 +54,14 @@ def _runs(words: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
+def passage_words(n: int) -> int:
+    """Least passage of ``PASSAGE`` words, or that doubled, that holds any ``n`` words whole."""
+    passage, stride = PASSAGE, STRIDE
+    while n > passage - stride + 1:
+        passage, stride = 2 * passage, 2 * stride
+    return passage
+
+
 def question_and_answer(text: str) -> tuple[str, str]:
     """The text up to its last sentence, and that sentence; a single sentence is both."""
     breaks = [m.end() for m in re.finditer(r"[.!?\n]+\s+", text.rstrip())]
@@ -64,6 +73,7 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         kept = [(i, t, w) for i, t in items if t and len(w := _hashes(t.encode()))]
+        kept.sort(key=lambda item: passage_words(len(item[2])))
         self.ids = [i for i, _, _ in kept]
         self.parts = [[_hashes(p.encode()) for p in question_and_answer(t)] for _, t, _ in kept]
         n = len(kept)
@@ -77,37 +87,44 @@ class Index:
         for (_, tf), at, (_, _, w) in zip(own, places, kept):
             x = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
             impacts.append(x / x.sum())
-        # Blocks grow with the items, so that their bounds stay a narrow table.
-        self.block = max(BLOCK, -(-n // 64))
-        n_blocks = -(-n // self.block)
-        self.bounds = np.zeros((len(self.terms) + 1, n_blocks), np.float32)
+        # Blocks grow with the items, so that their bounds stay a narrow table. A block has items
+        # of one class; ``classes`` has the passage and the blocks of each.
+        block = max(BLOCK, -(-n // 64))
+        lengths = [passage_words(len(w)) for _, _, w in kept]
+        members: list[range] = []
+        self.classes: list[tuple[int, slice]] = []
+        for passage in sorted(set(lengths)):
+            a = lengths.index(passage)
+            z, first = a + lengths.count(passage), len(members)
+            members += [range(i, min(z, i + block)) for i in range(a, z, block)]
+            self.classes.append((passage, slice(first, len(members))))
+        self.bounds = np.zeros((len(self.terms) + 1, len(members)), np.float32)
         self.blocks = []
-        for b in range(n_blocks):
-            own_items = range(b * self.block, min(n, (b + 1) * self.block))
+        for b, own_items in enumerate(members):
             terms = np.unique(np.concatenate([places[i] for i in own_items]))
             table = np.zeros((len(terms) + 1, len(own_items)), np.float32)
             for c, i in enumerate(own_items):
                 table[np.searchsorted(terms, places[i]), c] = impacts[i]
             self.bounds[terms, b] = table[:-1].max(axis=1)
-            self.blocks.append((terms, table))
+            self.blocks.append((own_items.start, terms, table))
 
-    def retrieve(self, row: np.ndarray, term: np.ndarray, threshold: float):
+    def retrieve(self, row: np.ndarray, term: np.ndarray, threshold: float, blocks: slice):
         """``passage row, item, score`` at or above the threshold, for sorted (row, term)."""
         starts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])) if len(row) else []
         if not len(starts):
             return []
         ends = np.append(starts[1:], len(row))
-        upper = np.add.reduceat(self.bounds[term], starts, axis=0)
+        upper = np.add.reduceat(self.bounds[term, blocks], starts, axis=0)
         found = []
         for p, b in np.argwhere(upper >= threshold - 1e-5).tolist():
-            terms, table = self.blocks[b]
+            first, terms, table = self.blocks[blocks.start + b]
             asked = term[starts[p]: ends[p]]
             at = np.searchsorted(terms, asked)
             at[at == len(terms)] = -1
             at = at[terms[at] == asked]
             scores = table[at].sum(axis=0)
             for c in np.flatnonzero(scores >= threshold - 1e-5).tolist():
-                found.append((int(row[starts[p]]), b * self.block + c, float(scores[c])))
+                found.append((int(row[starts[p]]), first + c, float(scores[c])))
         return found
 
     def overlap(self, item: int, words: np.ndarray) -> list[float]:
@@ -131,23 +148,25 @@ class Index:
         known = self.terms[term] == words
         per_row = np.bincount(rows, minlength=len(column))
         first = np.cumsum(per_row) - per_row
-        # Stride s of a text is part of the passages that begin at s, s - 1, ...
-        steps = PASSAGE // STRIDE
-        stride = (np.arange(len(words)) - first[rows]) // STRIDE
-        base = np.cumsum(-(-per_row // STRIDE) + 0) - -(-per_row // STRIDE)
-        text_of = np.repeat(np.arange(len(column)), -(-per_row // STRIDE))
-        keys = []
-        for back in range(steps):
-            use = known & (stride >= back)
-            keys.append((base[rows[use]] + stride[use] - back) * np.int64(len(self.terms))
-                        + term[use])
-        keys = np.sort(np.concatenate(keys))
-        keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
         best: dict[tuple[int, int], float] = {}
-        for passage, item, score in self.retrieve(keys // len(self.terms), keys % len(self.terms),
-                                                  threshold):
-            key = (int(text_of[passage]), item)
-            best[key] = max(score, best.get(key, 0.0))
+        for length, blocks in self.classes:
+            # Stride s of a text is part of the passages that begin at s, s - 1, ...
+            steps, width = PASSAGE // STRIDE, length * STRIDE // PASSAGE
+            stride = (np.arange(len(words)) - first[rows]) // width
+            strides = -(-per_row // width)
+            base = np.cumsum(strides) - strides
+            text_of = np.repeat(np.arange(len(column)), strides)
+            keys = []
+            for back in range(steps):
+                use = known & (stride >= back)
+                keys.append((base[rows[use]] + stride[use] - back) * np.int64(len(self.terms))
+                            + term[use])
+            keys = np.sort(np.concatenate(keys))
+            keys = keys[np.concatenate([[True], keys[1:] != keys[:-1]])] if len(keys) else keys
+            for passage, item, score in self.retrieve(
+                    keys // len(self.terms), keys % len(self.terms), threshold, blocks):
+                key = (int(text_of[passage]), item)
+                best[key] = max(score, best.get(key, 0.0))
         out = []
         for (r, item), score in sorted(best.items()):
             question, answer = self.overlap(item, words[first[r]: first[r] + per_row[r]])

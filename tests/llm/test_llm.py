@@ -259,6 +259,23 @@ def test_shards_are_even_and_gapless(docs, nothing):
     assert sharding.shuffle_to_shards(sharding.keyed(nothing), 7, n_blocks=8).count() == 0
 
 
+def test_copies_of_a_row_are_dealt_each_for_itself(spark):
+    rows = [(i, f"text {i}") for i in range(500)] * 2 + [(-1, "often")] * 500
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    at = collections.defaultdict(list)
+    for r in sharding.shuffle_to_shards(sharding.keyed(frame), 5, n_blocks=8).collect():
+        at[r.doc_id].append((r.shard, r.slot))
+    often = sorted(at.pop(-1))
+    # Expected: 100 of 500 pairs in one shard, and a third of the 500 copies beside another.
+    assert sum(a[0] == b[0] for a, b in at.values()) == pytest.approx(100, abs=50)
+    beside = sum(b == (a[0], a[1] + 1) for a, b in zip(often, often[1:]))
+    assert beside == pytest.approx(500 / 3, abs=60)
+    assert all(c == pytest.approx(100, abs=45)
+               for c in collections.Counter(s for s, _ in often).values())
+    again = sharding.shuffle_to_shards(sharding.keyed(frame.repartition(4)), 5, n_blocks=8)
+    assert sorted((r.shard, r.slot) for r in again.filter("doc_id = -1").collect()) == often
+
+
 def test_hypergeometric_draws_follow_the_law(spark):
     n, k, d = 50, 20, 15
     rows = spark.range(4000).select(sharding.hypergeometric(

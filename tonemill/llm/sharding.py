@@ -1,6 +1,8 @@
 """A uniform shuffle into shards whose row counts differ by one at most.
 
-Rows fall into blocks by a hash. How many rows each block sends to each shard is drawn exactly:
+Rows are numbered in the order of what is known of them, equal rows one after the other, so every
+row has a number of its own and the numbering does not depend on how the rows lie. All hashes are
+of that number. Rows fall into blocks by a hash. How many rows each block sends to each shard is drawn exactly:
 the matrix of counts with the blocks' sizes as row sums and the shards' sizes as column sums
 (multivariate hypergeometric). Each block permutes its rows and deals them out by its row of the
 matrix; after the exchange each shard permutes what it got, which gives the slots.
@@ -10,7 +12,7 @@ one hypergeometric draw per shard says how much of it goes to the left half. Lev
 nodes are rows of a DataFrame, so the draws are distributed and depend on the seed alone.
 
 Only DataFrame functions are used. Defined cases: null texts count no bytes; null IDs and
-repeated rows are dealt like any other (equal rows may swap slots); an empty table gives no rows;
+repeated rows are dealt like any other, each copy for itself (equal rows may swap slots); an empty table gives no rows;
 columns of other names do not matter.
 """
 
@@ -170,19 +172,23 @@ def shuffle_to_shards(rows: DataFrame, shards: int, key: str = "doc_id", seed: i
     wanted = n_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_blocks = 1 << max(0, wanted - 1).bit_length()
     identity = [F.col(key), F.col("text_crc32"), F.col("size")]
-    rows = materialize(rows.withColumn("block", F.pmod(
-        F.xxhash64(F.lit(seed), *identity), F.lit(n_blocks)).cast("int")), "keyed")
+    # The ID of the written row only tells equal rows apart, so that ranges can part them.
+    written = materialize(rows.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    numbered = dense_index(written, [*identity, F.col("_row")], name="_number").drop("_row")
+    rows = materialize(numbered.withColumn("block", F.pmod(
+        F.xxhash64(F.lit(seed), "_number"), F.lit(n_blocks)).cast("int")), "numbered")
     matrix = count_matrix(rows.groupBy("block").agg(F.count("*").alias("n")),
                           n_blocks, shards, seed)
     ends = matrix.select("block", F.transform("counts", lambda x, i: F.aggregate(
         F.slice("counts", 1, i + 1), F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("ends"))
-    local = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed + 1), *identity), *identity)
+    local = Window.partitionBy("block").orderBy(
+        F.xxhash64(F.lit(seed + 1), "_number"), "_number")
     dealt = (
         rows.withColumn("i", F.row_number().over(local) - 1)
         .join(ends, "block")
         .withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("i"))))
         .select(*rows.drop("block").columns, "shard")
     )
-    again = F.xxhash64(F.lit(seed + 2), *identity)
-    return dense_index(dealt.withColumn("_order", again), [F.col("_order"), *identity],
-                       by=["shard"], name="slot").drop("_order")
+    again = F.xxhash64(F.lit(seed + 2), "_number")
+    return dense_index(dealt.withColumn("_order", again), [F.col("_order"), F.col("_number")],
+                       by=["shard"], name="slot").drop("_order", "_number")

@@ -369,6 +369,22 @@ def test_top_k_is_exact(spark):
     assert kdtree.top_k(frame.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_top_k_counts_repeated_rows_as_sql_does(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(1, 200)]
+    rows += [(50, rows[49][1])] + [rows[6]] * 4 + [rows[8]] * 9 + [(9, rows[3][1]), (100, rows[4][1])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    got = collections.defaultdict(list)
+    for r in kdtree.top_k(frame, F.col("vec_id") % 50 == 0, 5, shard_rows=40,
+                          query_rows=2).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((-r.score, r.vec_id))
+    whole = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows]
+    for q in (50, 100, 150):
+        pairs = [(-sum(a * b for a, b in zip(u, v)), j)
+                 for i, u in whole if i == q for j, v in whole if j != q]
+        assert got[q] == sorted(pairs)[:5]
+
+
 def test_span_hashes_depend_on_bytes_alone():
     data = np.frombuffer(b"abcabc xabc", np.uint8)
     h = buffers.SpanHash(data, 1).of(np.array([0, 3, 8, 0]), np.array([3, 6, 11, 2]))

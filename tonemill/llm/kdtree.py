@@ -10,8 +10,9 @@ scores found there go with it to all others, where most nodes are then never ope
 
 Defined cases: vectors that are null, or hold null, NaN or infinite components, take no part, nor
 do null IDs; only vectors of equal length meet; ties go to the smaller ID; rows that share the
-query's ID count as its own and rows that share an ID as one candidate each; other columns are
-not read; an empty table gives no rows.
+query's ID count as its own and are no candidates; every other row is a candidate, and every
+query row asks, so repeated rows count as often as they stand; other columns are not read; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -109,6 +110,13 @@ def whole_vectors(table: DataFrame, key: str, vector: str, scale: int) -> DataFr
         F.col(key).cast("long").alias("id"), v.alias("v"))
 
 
+def _counted(vectors: DataFrame, k: int) -> DataFrame:
+    """``id, v`` with each repeated row ``k`` times at most: more can't stand among ``k`` best."""
+    return vectors.groupBy("id", "v").agg(F.count("*").alias("n")).select(
+        "id", "v", F.explode(F.sequence(F.lit(1), F.least("n", F.lit(k)).cast("int"))).alias("_copy")
+    ).drop("_copy")
+
+
 def _blocks(vectors: DataFrame, rows: int) -> tuple[DataFrame, int]:
     """One row per block and vector length: ``block, dim, ids, points`` as bytes."""
     n = max(1, -(-vectors.count() // rows))
@@ -167,8 +175,8 @@ def top_k(table: DataFrame, is_query: Column, k: int, key: str = "vec_id",
           vector: str = "embedding", scale: int = 256, shard_rows: int = SHARD_ROWS,
           query_rows: int = QUERY_ROWS) -> DataFrame:
     """``query_id, rank, key, score``: the ``k`` best of all other rows for each query row."""
-    vectors = materialize(whole_vectors(table, key, vector, scale), "vectors")
-    asked = materialize(whole_vectors(table.filter(is_query), key, vector, scale).distinct(),
+    vectors = materialize(_counted(whole_vectors(table, key, vector, scale), k), "vectors")
+    asked = materialize(_counted(whole_vectors(table.filter(is_query), key, vector, scale), k),
                         "queries")
     packed, n_shards = _blocks(vectors, shard_rows)
     shards = materialize(packed.select(F.col("block").alias("shard"), "dim",
@@ -189,7 +197,7 @@ def top_k(table: DataFrame, is_query: Column, k: int, key: str = "vec_id",
         .join(shards, ["shard", "dim"])
     )
     found = first.select("found").union(_search(others, k).select("found"))
-    rows = found.select(F.explode("found").alias("f")).select("f.*").distinct()
+    rows = found.select(F.explode("found").alias("f")).select("f.*")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return rows.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select(
         "query_id", F.col("rank").cast("int").alias("rank"), F.col("id").alias(key), "score")

@@ -301,6 +301,20 @@ def test_secret_spans(spark, docs, nothing):
     assert secrets.find_secrets(nothing).count() == 0
 
 
+def test_secrets_beside_harmless_words_are_found():
+    key, rng = "9xQ2LmPz7RkVb4TnYw8JdHc3", random.Random(3)
+    blob = "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=90))
+    texts = [f"com/example-bucket/{key}", f"{key}/example", blob[:40] + "A" * 8 + blob[40:],
+             f"sample{key}", f"{key}EXAMPLE", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
+             f"{blob}sample{blob}", "x" * 40]
+    got = [[(a, b) for kind, a, b in spans if kind == "entropy_base64"]
+           for spans in secrets.scan_texts(pa.array(texts), secrets.Scan())]
+    assert any(a <= 19 and b == 43 for a, b in got[0]) and got[1][0][0] == 0 and got[1][0][1] >= 24
+    assert got[2][0][0] == 0 and got[2][-1][1] == 98 and sum(b - a for a, b in got[2]) >= 80
+    assert got[3] == got[4] == got[5] == got[7] == []
+    assert got[6][0][0] == 0 and got[6][-1][1] == 186
+
+
 def test_windows_agree_with_entropies_computed_afresh():
     rng = random.Random(2)
     text = bytes(rng.choices(b"abcdef0123456789", k=200))

@@ -3,7 +3,9 @@
 A candidate is a maximal run of one class's characters that is at least a window long. The
 window slides over it; the counts of its characters change by one that enters and one that
 leaves, so each step costs the same whatever the window. Runs of windows at or above the class's
-threshold become spans ``entropy_<class>``, unless the allow-list names them.
+threshold become spans ``entropy_<class>``. Windows that the allow-list names do not count: those
+that overlap one of its matches, and for a match that is a word those within a window's length of
+it too, unless they lie in another part of the candidate (parts are runs of letters and digits).
 
 Defined cases: a null or empty text has no spans; repeated rows are scanned each for itself;
 other columns pass by unread. Offsets count code points, ends are exclusive.
@@ -32,6 +34,7 @@ BASE_KINDS = ("assign", "access", "hex")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _assign = re.compile(ASSIGN, re.IGNORECASE)
 _access = re.compile(ACCESS)
+_part = re.compile(rb"[A-Za-z0-9]+")
 
 
 @dataclass(frozen=True)
@@ -54,7 +57,7 @@ CLASSES = (
     EntropyClass("base64", _DIGITS + _LOWER + _LOWER.upper() + "+/=_-", 20, 3.8,
                  (_DIGITS, _LOWER, _LOWER.upper())),
 )
-#: Candidates that hold one of these patterns are known to be harmless: samples and placeholders.
+#: Windows at these patterns are known to be harmless: samples and placeholders.
 ALLOWED = (r"(?i)example", r"(?i)(sample|dummy|placeholder|changeme)", r"(.)\1{7}",
            r"(?i)abcdefghij", r"0123456789")
 
@@ -64,13 +67,30 @@ class Scan:
     classes: tuple[EntropyClass, ...] = CLASSES
     allowed: tuple[str, ...] = ALLOWED
 
-    def harmless(self, candidate: bytes) -> bool:
-        return any(re.search(p.encode(), candidate) for p in self.allowed)
-
-
-def hot_windows(text: bytes, window: int, bits: float, needs: tuple[bytes, ...]
-                ) -> list[tuple[int, int]]:
-    """Maximal unions of windows of ``text`` with at least ``bits`` of entropy a character."""
+    def harmless(self, candidate: bytes, window: int) -> np.ndarray | None:
+        """For each window of the candidate, by its start, whether the allow-list names it."""
+        hits = [m.span() for p in self.allowed for m in re.finditer(p.encode(), candidate)]
+        if not hits:
+            return None
+        out = np.zeros(len(candidate) - window + 1, bool)
+        for a, b in hits:
+            out[max(0, a - window + 1): b] = True
+            if len(set(candidate[a:b])) == 1:  # filler says nothing of what stands beside it
+                continue
+            near = range(max(0, a - 2 * window + 1), min(len(out), b + window))
+            parts = _part.finditer(candidate, near.start, min(len(candidate), near.stop + window))
+            apart = np.zeros(len(near), bool)
+            for m in parts:
+                if m.end() <= a or m.start() >= b:
+                    apart[m.start() - near.start: max(0, m.end() - window + 1 - near.start)] = True
+            out[near.start: near.stop] |= ~apart
+        return out
+
+
+def hot_windows(text: bytes, window: int, bits: float, needs: tuple[bytes, ...],
+                harmless: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Maximal unions of windows of ``text`` with at least ``bits`` of entropy a character,
+    without windows that are ``harmless``."""
     log = [0.0] + [c * math.log2(c) for c in range(1, window + 2)]
     counts = [0] * 256
     total, found = 0.0, []
@@ -90,6 +110,8 @@ def hot_windows(text: bytes, window: int, bits: float, needs: tuple[bytes, ...]
                 held[k] -= out in s
         if i >= window - 1 and whole - total / window >= bits - 1e-9 and all(held):
             start = i - window + 1
+            if harmless is not None and harmless[start]:
+                continue
             if found and start <= found[-1][1]:
                 found[-1] = (found[-1][0], i + 1)
             else:
@@ -139,7 +161,9 @@ def scan_texts(column: pa.Array, scan: Scan) -> list[list[tuple[str, int, int]]]
         for r, a, b in zip(rows, starts.tolist(), ends.tolist()):
             candidate = raw[a:b]
             found = hot_windows(candidate, cls.window, cls.bits, needs)
-            if found and not scan.harmless(candidate):
+            if found and (harmless := scan.harmless(candidate, cls.window)) is not None:
+                found = hot_windows(candidate, cls.window, cls.bits, needs, harmless)
+            if found:
                 spans[r] += [(a + x - begins[r], k, a + y - begins[r]) for x, y in found]
     # Byte offsets become code points: bytes 10xxxxxx continue a character.
     out: list[list[tuple[str, int, int]]] = []

@@ -151,6 +151,16 @@ def test_mix_meets_its_targets(docs, nothing):
     assert mixing.assign(nothing).count() == 0
 
 
+def test_rows_without_a_position_come_last_and_spread(spark):
+    rows = spark.range(1000).withColumn("at", F.when(F.col("id") < 200, F.col("id") / 200.0))
+    got = mixing.in_training_order(rows, F.col("at"), "id").withColumn(
+        "task", F.spark_partition_id()).collect()
+    assert [r.id for r in got[:200]] == list(range(200))
+    assert sorted(r.id for r in got) == list(range(1000))
+    tasks = collections.Counter(r.task for r in got if r.at is None)
+    assert len(tasks) > 4 and max(tasks.values()) < 400
+
+
 def test_demand_time_inverts_the_integral(spark):
     knots = [0.5, 2.0, 1.0]
     area = lambda t: np.trapezoid(np.interp(

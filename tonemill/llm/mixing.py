@@ -132,9 +132,11 @@ def assign(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
 def in_training_order(rows: DataFrame, position: Column, key: str) -> DataFrame:
     """Rows sorted by position in ranges of equal training time; without a position, at the end.
 
-    Positions lie in 0..1, so ranges need no sampling pass: each is one partition.
+    Positions lie in 0..1, so ranges need no sampling pass: each is one partition. Rows without
+    a position have no order among themselves; a hash deals them to as many partitions again.
     """
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    place = F.coalesce(F.least(F.floor(position * n), F.lit(n - 1)), F.lit(n - 1)).cast("int")
-    return rows.repartitionById(n, place).sortWithinPartitions(
+    place = F.when(position.isNotNull(), F.least(F.floor(position * n), F.lit(n - 1))).otherwise(
+        n + F.pmod(F.xxhash64(*rows.columns), F.lit(n))).cast("int")
+    return rows.repartitionById(2 * n, place).sortWithinPartitions(
         position.asc_nulls_last(), F.col(key).asc_nulls_last())

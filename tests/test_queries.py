@@ -20,7 +20,6 @@ def test_entry(spark):
 
 def test_names():
     assert set(oracle_sql()) <= set(queries())
-    assert not any("pipeline" in name for name in queries())
 
 
 @pytest.mark.parametrize("name", sorted(queries()))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tonemill.llm import (
     decontam,
+    exact,
     kdtree,
     langid,
     lines,
@@ -88,6 +89,15 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+EXACT_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       row_number() OVER (PARTITION BY text ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
+       sha256(text) AS text_sha256
+FROM d WINDOW same AS (PARTITION BY text)
+"""
+
+
 @query("op1_odd_sketch_minhash")
 def op1_odd_sketch_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf, "documents"), minhash.NearDup(width=4))
@@ -161,3 +171,8 @@ def op9_bm25_leaks(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_kdtree_topk", TOP_SQL)
 def op10_kdtree_topk(spark: SparkSession, sf: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
+@query("op13_radix_exact_dedup", EXACT_SQL)
+def op13_radix_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return exact.exact_duplicates(table(spark, sf, "documents"))

@@ -13,7 +13,9 @@ from tonemill.llm import (
     lines,
     minhash,
     mixing,
+    phrases,
     pii,
+    ranked,
     secrets,
     sharding,
     suffix,
@@ -89,6 +91,74 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+RANK_SQL = r"""
+WITH items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM benchmark),
+asked AS (SELECT q, item_id, unnest(terms) AS term FROM items),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+sized AS (SELECT *, len(terms)::BIGINT AS n FROM docs WHERE len(terms) > 0),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sized),
+freqs AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, n, unnest(terms) AS term FROM sized)
+  WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM freqs, whole GROUP BY term, n_docs),
+scored AS (
+  SELECT q, item_id, r, doc_id, sum(w * ((1000000000 * tf)
+           // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM asked JOIN freqs USING (term) JOIN weights USING (term), whole GROUP BY ALL),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+PHRASE_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+starts AS (
+  SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM split, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m),
+often AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*)::BIGINT AS a
+  FROM starts GROUP BY ALL HAVING count(*) >= 100),
+listed AS (SELECT *, string_split(phrase, ' ') AS w FROM often),
+cuts AS (
+  SELECT lang, phrase, m, a, k, array_to_string(w[1:k], ' ') AS head,
+         array_to_string(w[k + 1:m], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM listed WHERE m > 1)),
+scored AS (
+  SELECT c.lang, c.phrase, c.m, c.a, k, h.a AS l, t.a AS r, n,
+         (1000::HUGEINT * c.a * n) // (h.a::HUGEINT * t.a) AS score
+  FROM cuts c JOIN often h ON h.lang = c.lang AND h.phrase = c.head
+  JOIN often t ON t.lang = c.lang AND t.phrase = c.tail JOIN totals s ON s.lang = c.lang),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+maximal AS (
+  SELECT * FROM weakest x WHERE NOT EXISTS (
+    SELECT 1 FROM often y WHERE y.lang = x.lang AND y.m > x.m AND y.a >= x.a
+      AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' '))),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM maximal)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 EXACT_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -173,6 +243,16 @@ def op10_kdtree_topk(spark: SparkSession, sf: str) -> DataFrame:
     return kdtree.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+@query("op11_limited_accumulators", RANK_SQL)
+def op11_limited_accumulators(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf, "documents"), table(spark, sf, "benchmark"), 50)
+
+
+@query("op12_fm_collocations", PHRASE_SQL)
+def op12_fm_collocations(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"), least=100, top=2000)
+
+
 @query("op13_radix_exact_dedup", EXACT_SQL)
 def op13_radix_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf, "documents"))

@@ -9,7 +9,7 @@ the bytes that no round has read, so all rounds together move a text about once.
 Each round is an aggregation, with partial counts before the shuffle, and a join that sends
 every row the number of its group. A digit that a third of all rows share is one row of the
 aggregate; its rows are never gathered in one place, and adaptive execution splits their join
-partition. The number of rounds grows with the logarithm of the longest text.
+partition. The join is a sort-merge join at every size, since the groups grow with the table. The number of rounds grows with the logarithm of the longest text.
 
 Defined cases: null reads as empty, and all empty texts are equal. Of equal texts the row with the
 largest ID stays (a null ID is smaller than all others); among equal IDs exactly one row does. Only
@@ -48,7 +48,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
         .select("digit", F.monotonically_increasing_id().alias("grp")), "digits")
     # The first round only tells rows without a partner; equal short texts end in the second.
     placed = materialize(
-        rows.join(crowded, digit == F.col("digit"), "left").select(
+        rows.join(crowded.hint("merge"), digit == F.col("digit"), "left").select(
             "id", F.monotonically_increasing_id().alias("row"), "grp",
             F.sha2("rest", 256).alias("sha"),
             F.when(F.col("grp").isNotNull(), F.substring("rest", width + 1, _END)).alias("rest")),
@@ -85,7 +85,7 @@ def _split(rows: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
         .withColumn("open", (F.col("n") > 1) & F.col("more"))
         .withColumn("next", F.monotonically_increasing_id()), "digits")
     same = (F.col("grp") == F.col("of")) & (digit == F.col("digit")) & (more == F.col("more"))
-    placed = materialize(rows.join(groups, same).select(
+    placed = materialize(rows.join(groups.hint("merge"), same).select(
         "id", "row", "sha", F.col("next").alias("grp"), "n", "top", "open",
         F.when(F.col("open"), F.substring("rest", width + 1, _END)).alias("rest")), "placed")
     return placed, groups

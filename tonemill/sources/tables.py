@@ -8,6 +8,7 @@ from pyspark.sql.types import StructType
 
 from tonemill import schemas
 from tonemill.constants import NA_TOKENS
+from tonemill.sources.quoted import read_quoted_csv
 
 _CSV = {
     "header": "true",
@@ -24,20 +25,23 @@ def null_tokens(df: DataFrame, col: str, tokens: list[str] = NA_TOKENS) -> DataF
     return df.withColumn(col, F.when(~F.col(col).isin(list(tokens)), F.col(col)))
 
 
-def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return null_tokens(spark.read.schema(schema).options(**_CSV).csv(path), "Text")
+def _read_csv(spark: SparkSession, path: str, schema: StructType, malformed: str | None) -> DataFrame:
+    rows = null_tokens(read_quoted_csv(spark, path, schema, _CSV, malformed or "_malformed"), "Text")
+    return rows if malformed else rows.drop("_malformed")
 
 
-def read_labelled_csv(spark: SparkSession, path: str) -> DataFrame:
-    """``ID, Text, Label``; quoted texts may span lines.
+def read_labelled_csv(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
+    """``ID, Text, Label``; quoted texts may span lines, and large files are read by many tasks.
 
-    A quoted line break keeps a file from being split, so a large table should come as many files.
+    The files are read at the call. A column named by ``malformed`` gets the text of records that
+    don't fit; without it they have null in the columns that can't be told.
     """
-    return _read_csv(spark, path, schemas.LABELLED)
+    return _read_csv(spark, path, schemas.LABELLED, malformed)
 
 
-def read_unlabelled_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _read_csv(spark, path, schemas.UNLABELLED)
+def read_unlabelled_csv(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
+    """``ID, Text``, as above."""
+    return _read_csv(spark, path, schemas.UNLABELLED, malformed)
 
 
 def write_text_csv(df: DataFrame, path: str) -> None:

@@ -109,6 +109,29 @@ def test_batches_and_samples(spark):
     assert again == {r["ID"] for r in batches.stratified_sample(df, 0.05).collect()}
 
 
+@pytest.mark.parametrize("n", [1, 2, 3, 7, 17, 50, 1000, 4096])
+def test_every_epoch_is_a_permutation_of_its_own(spark, n):
+    df = spark.range(n).select((F.col("id") * 3).alias("ID")).repartition(3)
+    rows = batches.epoch_batches(df, 5, 8).collect()
+    orders = {}
+    for r in rows:
+        orders.setdefault(r.epoch, {})[r.place] = r.ID
+        assert r.batch == r.place // 8
+    assert set(orders) == set(range(5))
+    assert all(sorted(o) == list(range(n)) and sorted(o.values()) == [3 * i for i in range(n)]
+               for o in orders.values())
+    if n >= 50:
+        assert len({tuple(o[i] for i in range(n)) for o in orders.values()}) == 5
+        moved = [sum(o[i] == 3 * i for i in range(n)) for o in orders.values()]
+        assert max(moved) < 12  # one row in its own place on average
+    again = batches.epoch_batches(df.repartition(2), 5, 8).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+def test_epochs_of_no_rows(spark):
+    assert batches.epoch_batches(spark.range(0).withColumnRenamed("id", "ID"), 3).count() == 0
+
+
 @pytest.mark.parametrize("n", [23, 50, 101])
 def test_folds_equal_dealing_by_class(spark, n):
     labels = [random.Random(n).choice((0, 0, 1)) if i else 1 for i in range(n)]

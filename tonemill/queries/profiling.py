@@ -172,6 +172,38 @@ SELECT ID, idx, idx // {BATCH_SIZE} AS batch FROM x""")
 def shuffled_batches(spark, sf):
     return batches.shuffled_batches(_ids(spark, sf))
 
+def _epochs(epochs: int, size: int) -> str:
+    """SQL of the same network: shifts in turn, and walks back into range by recursion."""
+    shifts = ["x // h AS u0", "x % h AS v0"]
+    for r in range(batches.PERMUTE_ROUNDS):
+        for part, turn, other, modulus in (("u", 2 * r, f"v{r}", "w"), ("v", 2 * r + 1, f"u{r + 1}", "h")):
+            digits = f"substr(md5('{SEED}:' || epoch || ':{turn}:' || {other}), 1, 8)"
+            shifts.append(f"({part}{r} + CAST('0x' || {digits} AS BIGINT)) % {modulus} AS {part}{r + 1}")
+    last = batches.PERMUTE_ROUNDS
+    return f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id AS ID, row_number() OVER (ORDER BY doc_id) - 1 AS idx, count(*) OVER () AS n FROM documents),
+sized AS (SELECT *, CAST(ceil(sqrt(n)) AS BIGINT) AS w FROM d),
+walk AS (
+  SELECT ID, CAST(epoch AS INTEGER) AS epoch, n, w, CAST(ceil(n / w) AS BIGINT) AS h, idx AS x, FALSE AS sent
+  FROM sized, range({epochs}) t(epoch)
+  UNION ALL
+  SELECT ID, epoch, n, w, h, u{last} * h + v{last}, TRUE
+  FROM (SELECT *, {", ".join(shifts)} FROM walk WHERE NOT sent OR x >= n))
+SELECT ID, epoch, x AS place, x // {size} AS batch FROM walk WHERE sent AND x < n"""
+
+
+@query("epoch_batches_4", _epochs(4, 64))
+def epoch_batches_4(spark, sf):
+    """Batches of an encoder's four epochs, a new order in each."""
+    return batches.epoch_batches(_ids(spark, sf), 4, 64).select("ID", "epoch", "place", "batch")
+
+
+@query("epoch_batches_30", _epochs(30, 128))
+def epoch_batches_30(spark, sf):
+    """The same for the thirty epochs of a net."""
+    return batches.epoch_batches(_ids(spark, sf), 30, 128).select("ID", "epoch", "place", "batch")
+
 
 @query("stratified_sample", f"""
 WITH x AS (SELECT ID, Label, row_number() OVER (PARTITION BY Label ORDER BY {_HASH}, ID) AS rn FROM ({sql.LABELLED})),

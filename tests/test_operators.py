@@ -241,6 +241,20 @@ def test_histogram_of_equal_lengths(spark):
     assert len(filled) == 1 and filled[0]["n"] == 2 and filled[0]["bin_start"] == pytest.approx(7.0)
 
 
+def test_trie_and_join_give_the_same_pieces(spark):
+    rng = random.Random(4)
+    tokens = {"".join(rng.choices("abé", k=rng.randint(1, 4))) for _ in range(12)}
+    tokens |= {"##" + "".join(rng.choices("abé", k=rng.randint(1, 3))) for _ in range(12)} | {"[UNK]", "#", "##"}
+    vocab = spark.createDataFrame([(t, i) for i, t in enumerate(sorted(tokens))], "token string, id int")
+    words = {"".join(rng.choices("abé#", (4, 4, 4, 1), k=rng.randint(1, 9))) for _ in range(400)} | {"a" * 120}
+    df = spark.createDataFrame([(w,) for w in words], "word string").repartition(3)
+    trie = subword.segment_words(df, vocab)
+    assert "Generate" not in trie._jdf.queryExecution().optimizedPlan().toString()
+    got = sorted(map(tuple, trie.collect()))
+    assert got == sorted(map(tuple, subword.segment_by_join(df, vocab).collect()))
+    assert len(got) == len(words) and sum(r[2] != "[UNK]" for r in got) > 50
+
+
 def test_csv_missing_and_quotes(spark, tmp_path):
     (tmp_path / "t.csv").write_text(
         'ID,Text,Label\n1,"a, ""quoted""\nnext",1\n2,NA,0\n3,,1\n4,null,0\n5," x ",1\n')

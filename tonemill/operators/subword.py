@@ -6,6 +6,9 @@ Each distinct word is segmented once and joined back to the texts. The vocabular
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +21,8 @@ from tonemill.plans.materialize import materialize
 _PUNCT = r"\p{P}$+<=>^`|~"
 _PICKED = "array<struct<start:int,len:int,id:int>>"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
-# A vocabulary up to this many tokens is broadcast; a larger one is joined by shuffle.
-BROADCAST_TOKENS = 1 << 20
+# A vocabulary up to this many tokens is broadcast as a trie; a larger one is joined by shuffle.
+BROADCAST_TOKENS = 1 << 18
 
 
 def words(text: Column) -> Column:
@@ -28,22 +31,71 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(plain, F.lit(f"([{_PUNCT}]|[^{SPACE}{_PUNCT}]+)"), 1)
 
 
-def _vocab_side(vocab: DataFrame) -> tuple[DataFrame, int]:
-    """Vocabulary ready to join, broadcast when its size was seen to be small."""
-    size, longest = vocab.agg(F.count("*"), F.max(F.length("token"))).first()
-    return (F.broadcast(vocab) if size <= BROADCAST_TOKENS else vocab), longest
+def _trie(tokens: dict[str, int]) -> dict[str, int]:
+    """Every prefix of every token: its ID where it is a token itself, -1 where it only begins one."""
+    trie: dict[str, int] = {}
+    for token, id_ in tokens.items():
+        trie[token] = id_
+        for end in range(1, len(token)):
+            trie.setdefault(token[:end], -1)
+    return trie
+
+
+def _longest_matches(word: str, trie: dict[str, int]) -> list[tuple[str, int]] | None:
+    """Greedy longest tokens from the left, or none if some place begins no token."""
+    found, text, base = [], word, 0
+    while True:
+        end = 0
+        for i in range(base + 1, len(text) + 1):
+            id_ = trie.get(text[:i])
+            if id_ is None:
+                break
+            if id_ >= 0:
+                end, best = i, id_
+        if not end:
+            return None
+        found.append((text[:end], best))
+        if end == len(text):
+            return found
+        text, base = CONTINUATION + text[end:], len(CONTINUATION)
 
 
 def segment_words(distinct_words: DataFrame, vocab: DataFrame,
                   max_chars: int = MAX_WORD_CHARS) -> DataFrame:
     """``(word, ids, pieces)``: greedy longest match from the left.
 
+    A word with a gap, or of more than ``max_chars`` characters, is the unknown token. A vocabulary
+    of up to ``BROADCAST_TOKENS`` tokens goes to the tasks as a trie, which each word walks character
+    by character and leaves at the first one that no token has; the words stay where they are.
+    Only a larger vocabulary is joined with all substrings.
+    """
+    if vocab.count() > BROADCAST_TOKENS:
+        return segment_by_join(distinct_words, vocab, max_chars)
+    tokens = {r["token"]: r["id"] for r in vocab.select("token", "id").toLocalIterator()}
+    shared = distinct_words.sparkSession.sparkContext.broadcast(tokens)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, unknown = _trie(shared.value), [(UNK, shared.value[UNK])]
+        for batch in batches:
+            found = [(_longest_matches(w, trie) if 0 < len(w) <= max_chars else None) or unknown
+                     for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("word"),
+                 pa.array([[i for _, i in f] for f in found], pa.list_(pa.int32())),
+                 pa.array([" ".join(p for p, _ in f) for f in found], pa.string())],
+                names=["word", "ids", "pieces"])
+
+    return distinct_words.select("word").mapInArrow(run, "word string, ids array<int>, pieces string")
+
+
+def segment_by_join(distinct_words: DataFrame, vocab: DataFrame,
+                    max_chars: int = MAX_WORD_CHARS) -> DataFrame:
+    """The same rows for a vocabulary of any size.
+
     All substrings of a word (no longer than the longest vocabulary token) are looked up; the
-    longest match per start is kept, and a walk from position 0 picks the pieces. A word with a
-    gap, or of more than ``max_chars`` characters, is the unknown token. ``distinct_words`` is partitioned
-    by word already, so with a broadcast vocabulary nothing here is shuffled again.
+    longest match per start is kept, and a walk from position 0 picks the pieces.
     """
-    side, longest = _vocab_side(vocab)
+    longest = vocab.agg(F.max(F.length("token"))).first()[0]
     word, n = F.col("word"), F.length("word")
     # A word that is too long keeps one candidate, so that it stays in the result.
     last = F.when(n <= max_chars, n).otherwise(F.lit(1))
@@ -56,7 +108,7 @@ def segment_words(distinct_words: DataFrame, vocab: DataFrame,
             F.substring(word, F.col("start"), F.col("len"))))
     )
     found = F.when(F.col("id").isNotNull(), F.col("len"))
-    longest_match = (candidates.join(side, "token", "left").groupBy("word", "start")
+    longest_match = (candidates.join(vocab, "token", "left").groupBy("word", "start")
                      .agg(F.max(found).alias("len"), F.max_by("id", found).alias("id")))
     hits = longest_match.groupBy("word").agg(
         F.sort_array(F.collect_list(F.struct("start", "len", "id"))).alias("hits"))

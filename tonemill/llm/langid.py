@@ -8,8 +8,9 @@ pass over all whole texts without a shuffle.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; null labels and
 IDs are not learnt from; with no labelled text at all every text is ``und``, with one language
-every text with a letter is that language; equal rows are predicted alike; other columns are not
-read.
+every text with a letter is that language; equal rows are predicted alike, and rows may share
+an ID; of more than ``languages`` labels those with most texts are learnt; other columns are kept
+as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,11 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonemill.llm import buffers
+from tonemill.llm.names import unused
 
 UNDETERMINED = "und"
 DIMENSIONS = 4096
 #: The bound of the training sample: about so many labelled texts of each language.
 SAMPLE = 600
+#: The bound of the labels that are learnt, and so of the machines: one for each pair at most.
+LANGUAGES = 64
 # Families of ISO 639-1 codes; a language of no listed family is its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "fy", "lb", "yi"),
@@ -112,7 +116,9 @@ class Model:
         least = np.ones((len(x), k))
         for i in range(k):
             for j in range(i + 1, k):
-                w = self.pairs[names[i], names[j]]
+                w = self.pairs.get((names[i], names[j]))
+                if w is None:
+                    continue
                 margin = x @ w[:-1] + w[-1]
                 sure = 1 / (1 + np.exp(-4.0 * np.clip(margin, -50, 50)))
                 wins[:, i] += margin > 0
@@ -139,15 +145,16 @@ class Model:
 
 
 def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-        sample: int = SAMPLE) -> Model:
-    """Fit on about ``sample`` texts of each language, picked by a hash of the ID.
+        sample: int = SAMPLE, languages: int = LANGUAGES) -> Model:
+    """Fit on about ``sample`` texts of each language, picked by a hash of the row's number.
 
     The driver gets one row per language, then one row of weights per pair.
     """
     rows = labelled.select(F.col(text).cast("string").alias("text"), F.col(lang).alias("lang"),
                            F.col(key).alias("key")).filter(
         "text IS NOT NULL AND lang IS NOT NULL AND key IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(
+        F.desc("n"), "lang").limit(languages).collect()}
     families: dict[str, list[str]] = {}
     for name in sorted(counts):
         families.setdefault(family_of(name), []).append(name)
@@ -159,12 +166,14 @@ def fit(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str =
     if not jobs:
         return Model(done, {})
     share = F.coalesce(*[F.when(F.col("lang") == c, sample / n) for c, n in counts.items()])
-    spot = F.pmod(F.xxhash64(F.lit(29), "key"), F.lit(1 << 30)) / float(1 << 30)
+    # Numbers differ for rows that share an ID or are equal, so no share is all or nothing.
+    numbered = rows.withColumn("number", F.monotonically_increasing_id())
+    spot = F.pmod(F.xxhash64(F.lit(29), "number"), F.lit(1 << 30)) / float(1 << 30)
     roles = spark.createDataFrame(
         [(name, f"{a}|{b}", a, b, sign) for a, b in jobs for sign, side in ((1.0, a), (-1.0, b))
          for name in (families.get(side) or [side])],
         "lang string, job string, first string, second string, sign double")
-    picked = rows.filter(spot < share).join(F.broadcast(roles), "lang")
+    picked = numbered.filter(spot < share).join(F.broadcast(roles), "lang")
 
     def train(table: pa.Table) -> pa.Table:
         column = table.column("text").combine_chunks()
@@ -188,9 +197,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``; only ``text`` is looked at."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
-    docs = docs.select(*names, has_letter(F.col(text)).alias("_letter"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}"
-                      for f in docs.schema if f.name != "_letter")
+    letter = unused(names, "letter")
+    docs = docs.select(*[f"`{c}`" for c in names], has_letter(F.col(f"`{text}`")).alias(letter))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

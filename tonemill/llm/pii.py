@@ -8,9 +8,15 @@ between 1900 and 2099, cards keep a valid check digit, separators and country co
 permutation depends on the value alone, so equal values have equal pseudonyms in all documents,
 however they are punctuated, and different values never share one.
 
-Each half of the network has its own modulus, whose product is the size of the domain (229 * 319
-days, 88,902 * 9,999 social security numbers), so no value has to be drawn again. Letters and
-digits of an address are shifted within their alphabet, one part keyed by the other.
+Each half of the network has its own modulus, whose product is the size of the domain (88,902 * 9,999
+social security numbers). Dates have a grid of 229 * 319 places, two more than days; a value that
+lands outside goes through the network again. Dates with slashes are read month first where that
+is a date; those that only exist day first are permuted among themselves, since another
+order could print like a month-first one. Letters and digits of an address are shifted within
+their alphabet, one part keyed by the other.
+
+A run of digit groups is a card if its 13 to 19 digits have a valid sum; in any other run, cards in
+printed form (an unbroken number, 4-4-4-4, 4-6-5 or 4-6-4) are found beside whatever else stands there.
 
 Only DataFrame functions are used and nothing is shuffled. Defined cases: a null text stays null
 and an empty one empty; equal rows change alike; other columns pass through, except ones named
@@ -22,6 +28,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonemill.llm.names import unused
+
 # Patterns of the kinds, and the ranges that make a value valid.
 EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
          r"\.[A-Za-z]{2,}")
@@ -31,9 +39,15 @@ IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
          r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])"
+# Cards as they are printed, looked for at every group of digits of a longer run.
+PRINTED = (r"(?<![0-9])(?=((?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
+           r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})(?![0-9])))[0-9]")
 PATTERN = "|".join([EMAIL, DATE, IP, SSN, PHONE, CARD])
-FIRST_DAY, DAYS = "1900-01-01", (229, 319)
+FIRST_DAY, DAYS = "1900-01-01", 73_049
+DAY_GRID = (229, 319)  # two places more than days
+#: Walks after which a day-first date has found its place (see ``_date``).
+MOST_WALKS = 64
 AREAS, GROUPS, SERIALS = 898, 99, 9999
 
 ROUNDS = 8
@@ -101,17 +115,26 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.length(digits)), F.lit(0), step)
 
 
-def _card(m: Column, key: str) -> Column:
+def _one_card(m: Column, key: str) -> Column:
+    """``m`` with the digits of a valid card permuted, or null."""
     def change(digits):
         body, check = F.left(digits, F.length(digits) - 1), F.right(digits, F.lit(1)).cast("int")
-        valid = (_luhn(body) + check) % 10 == 0
+        valid = F.length(digits).between(13, 19) & ((_luhn(body) + check) % 10 == 0)
         fresh = _let(permuted_digits(body, key, "card"), lambda d: F.concat(
             d, ((10 - _luhn(d)) % 10).cast("string")))
-        return F.when(valid, _refill(m, fresh)).otherwise(m)
+        return F.when(valid, _refill(m, fresh))
 
     return _let(F.regexp_replace(m, "[^0-9]", ""), change)
 
 
+def _card(m: Column, key: str) -> Column:
+    printed = F.array_distinct(F.regexp_extract_all(m, F.lit(PRINTED), F.lit(1)))
+    inside = F.aggregate(printed, m, lambda done, c: F.coalesce(
+        F.replace(done, c, _one_card(c, key)), done))
+    whole = F.when(F.length(F.regexp_replace(m, "[^0-9]", "")) <= 19, _one_card(m, key))
+    return _let(whole, lambda w: F.coalesce(w, inside))
+
+
 def _phone(m: Column, key: str) -> Column:
     digits = F.regexp_replace(m, "[^0-9]", "")
     return _let(digits, lambda d: _refill(m, F.concat(
@@ -148,26 +171,49 @@ def _ssn(m: Column, key: str) -> Column:
     return _let(F.split(m, "-").cast("array<int>"), change)
 
 
+def _permuted_day(n: Column, key: str, domain: str) -> Column:
+    """A day number, permuted among all days."""
+    height = F.lit(DAY_GRID[1]).cast("bigint")
+
+    def step(s, _):
+        moved = _let(feistel(F.floor(s["n"] / DAY_GRID[1]), s["n"] % DAY_GRID[1],
+                             F.lit(DAY_GRID[0]).cast("bigint"), height, key, domain),
+                     lambda t: t["a"] * height + t["b"])
+        return F.when(s["done"], s).otherwise(_let(moved, lambda x: F.struct(
+            x.alias("n"), (x < DAYS).alias("done"))))
+
+    # At most two places are outside, so a third walk ends inside.
+    start = F.struct(n.cast("bigint").alias("n"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(3)), start, step)["n"]
+
+
+def _day(n: Column) -> Column:
+    return F.date_add(F.lit(FIRST_DAY).cast("date"), n.cast("int"))
+
+
+def _day_first(n: Column, key: str) -> Column:
+    """A day after the twelfth of its month, permuted among such days by walking on to the next."""
+    def step(s, _):
+        return F.when(s["done"], s).otherwise(_let(_permuted_day(s["n"], key, "day first"), lambda x: F.struct(
+            x.alias("n"), (F.dayofmonth(_day(x)) > 12).alias("done"))))
+
+    start = F.struct(n.cast("bigint").alias("n"), F.lit(False).alias("done"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(MOST_WALKS)), start, step)["n"]
+
+
 def _date(m: Column, key: str) -> Column:
-    slashed = m.contains("/")
-    day = F.coalesce(F.try_to_timestamp(m, F.lit("yyyy-MM-dd")),
-                     F.try_to_timestamp(m, F.lit("MM/dd/yyyy")),
-                     F.try_to_timestamp(m, F.lit("dd/MM/yyyy"))).cast("date")
-    month_first = F.try_to_timestamp(m, F.lit("MM/dd/yyyy")).isNotNull()
+    month_first = F.try_to_timestamp(m, F.lit("MM/dd/yyyy")).cast("date")
+    day_first = F.when(month_first.isNull(), F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).cast("date"))
+    iso = F.try_to_timestamp(m, F.lit("yyyy-MM-dd")).cast("date")
 
-    def change(n):
-        fresh = _let(
-            feistel(F.floor(n / DAYS[1]), n % DAYS[1], F.lit(DAYS[0]).cast("bigint"),
-                    F.lit(DAYS[1]).cast("bigint"), key, "date"),
-            lambda s: _let(F.date_add(F.lit(FIRST_DAY).cast("date"),
-                                      (s["a"] * DAYS[1] + s["b"]).cast("int")),
-                           lambda d: F.when(~slashed, F.date_format(d, "yyyy-MM-dd"))
-                           .when(month_first, F.date_format(d, "MM/dd/yyyy"))
-                           .otherwise(F.date_format(d, "dd/MM/yyyy"))))
-        valid = n.isNotNull() & (n >= 0) & (n < DAYS[0] * DAYS[1])
-        return F.when(valid, fresh).otherwise(m)
+    def printed(day, change, form):
+        first = F.lit(FIRST_DAY).cast("date")
+        return F.when(day.isNotNull(), F.date_format(_day(change(F.datediff(day, first))), form))
 
-    return _let(F.datediff(day, F.lit(FIRST_DAY).cast("date")), change)
+    any_day = lambda n: _permuted_day(n, key, "date")
+    return F.coalesce(
+        printed(iso, any_day, "yyyy-MM-dd"), printed(month_first, any_day, "MM/dd/yyyy"),
+        printed(day_first, lambda n: _day_first(n, key), "dd/MM/yyyy"), m)
 
 
 def _shifted(part: Column, hexed: Column) -> Column:
@@ -212,16 +258,17 @@ def pseudonymize(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     ``key`` is the secret: with another key all pseudonyms differ.
     """
     names = [c for c in docs.columns if c != "n_replaced"]
-    some = F.col(text).rlike("[0-9@]")
-    found = docs.select(*names, F.when(some, F.regexp_extract_all(
-        text, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>")).alias("_old"))
-    changed = found.select("*", F.transform("_old", lambda m: pseudonym(m, key)).alias("_new"))
-    pieces = F.split(text, PATTERN, -1)
+    old, new = unused(docs.columns, "old"), unused(docs.columns, "new")
+    body = F.col(f"`{text}`")
+    found = docs.select(*[f"`{c}`" for c in names], F.when(body.rlike("[0-9@]"), F.regexp_extract_all(
+        body, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>")).alias(old))
+    changed = found.select("*", F.transform(old, lambda m: pseudonym(m, key)).alias(new))
+    pieces = F.split(body, PATTERN, -1)
     built = _let(pieces, lambda p: F.concat(
-        F.array_join(F.zip_with(F.slice(p, 1, F.size("_new")), F.col("_new"),
+        F.array_join(F.zip_with(F.slice(p, 1, F.size(new)), F.col(new),
                                 lambda a, b: F.concat(a, b)), ""), F.element_at(p, -1)))
-    count = F.size(F.filter(F.arrays_zip("_old", "_new"), lambda z: z["_old"] != z["_new"]))
+    count = F.size(F.filter(F.zip_with(old, new, lambda a, b: a != b), lambda x: x))
     return changed.select(
-        *[F.when(F.size("_old") > 0, built).otherwise(F.col(text)).alias(text) if c == text
-          else F.col(c) for c in names],
+        *[F.when(F.size(old) > 0, built).otherwise(body).alias(text) if c == text
+          else F.col(f"`{c}`") for c in names],
         F.coalesce(count, F.lit(0)).cast("bigint").alias("n_replaced"))

@@ -9,7 +9,7 @@ import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tonemill.models import logistic, manyfits, mlp, scoring, search
+from tonemill.models import logistic, mlp, scoring, search
 from tonemill.operators import batches, metrics, tfidf
 from tonemill.sources import tables
 
@@ -71,6 +71,27 @@ def test_score_batches(spark):
     assert len(got) == 200 and all(list(r["logits"]) == [-r["a"], r["a"]] for r in got)
 
 
+def test_saved_weights_score_in_padded_batches(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    w, rows = rng.normal(size=50), []
+    for i in range(500):
+        at = np.sort(rng.choice(50, rng.integers(0, 30), replace=False))
+        rows.append((i, at.tolist(), rng.normal(size=len(at)).tolist()))
+    df = spark.createDataFrame(rows, "ID long, indices array<int>, values array<double>").repartition(3)
+    scoring.save_weights(spark, w, 0.5, str(tmp_path / "m"))
+    loaded, bias = scoring.load_weights(spark, str(tmp_path / "m"))
+    assert (loaded == w).all() and bias == 0.5
+    scored = scoring.score_padded(df, str(tmp_path / "m"), batch_size=16)
+    got = {r.ID: r for r in scored.collect()}
+    padding = 0
+    for i, at, x in rows:
+        z = w[at] @ np.array(x) + 0.5 if at else 0.5
+        assert got[i].logits == pytest.approx([-z / 2, z / 2]) and got[i].width >= len(at)
+        padding += got[i].width - len(at)
+    assert padding <= 16 * 29 * scored.rdd.getNumPartitions() and padding < 0.3 * sum(len(r[1]) for r in rows)
+    assert scoring.score_padded(df.limit(0), str(tmp_path / "m")).count() == 0
+
+
 def test_search_draws(spark):
     space = {"H1": ("int", 400, 512), "H2": ("int", 128, lambda p: min(p["H1"], 256)),
              "lr": ("log", 2e-4, 8e-4), "drop": ("float", 0.1, 0.3)}
@@ -81,50 +102,113 @@ def test_search_draws(spark):
     assert [r["value"] for r in found.orderBy("trial").collect()] == [-d["lr"] for d in draws[:5]]
 
 
-def test_learning_curve_sizes(points):
-    _, _, df = points
-    folds = batches.stratified_folds(df.select("ID", "label"), k=3, label="label")
-    curve = search.learning_curve(df, folds, 2.0, k=3, steps=4).orderBy("n_train").collect()
-    n = [r["n_train"] for r in curve]
-    first = folds.filter("fold <> 0").count()
-    assert n == [math.floor(first * i / 4) for i in range(1, 5)]
-    assert all(0.5 < r["test_mean"] <= 1 and r["test_std"] >= 0 for r in curve)
-    assert all(r["at_optimum"] and r["fits"] == 3 and r["held_out_rows"] == 120 for r in curve)
-    assert search.learning_curve(df.limit(0), folds.limit(0), 2.0, k=3, steps=4).count() == 0
+def test_halving_finds_a_planted_best(spark):
+    """Values rise with steps; a draw's final value is known, and early values keep the order."""
+    space = {"a": ("int", 0, 10_000)}
+    draws = [d["a"] for d in search.sample_params(space, 27, 3)]
+    seen = []
+
+    def train(params, steps, state):
+        done = (state or 0) + steps
+        seen.append((params["a"], state, steps))
+        return params["a"] * (1 - 0.5 ** done), done
 
+    rows = search.successive_halving(spark, space, 27, 3, train, (2, 4, 8), 3).collect()
+    assert [sum(r.rung == k for r in rows) for k in range(3)] == [27, 9, 3]
+    winner = [r for r in rows if r.winner]
+    assert len(winner) == 1 and winner[0].params["a"] == max(draws) and winner[0].rung == 2
+    best = sorted(range(27), key=lambda i: (-draws[i], i))
+    assert {r.trial for r in rows if r.rung == 1} == set(best[:9])
+    assert {r.trial for r in rows if r.rung == 0 and r.goes_on} == set(best[:9])
+    assert sorted({s for _, s, n in seen if n == 8}) == [6]  # goes on from where it was
 
-def test_joint_fits_reach_the_optimum_of_single_ones(spark, points):
+
+def test_net_goes_on_from_its_weights(points):
+    _, _, df = points
+    half = mlp.fit_mlp(df, 3, [4], max_iter=5)
+    on = mlp.fit_mlp(df, 3, [4], max_iter=1, start=half.weights)
+    fresh = mlp.fit_mlp(df, 3, [4], max_iter=1)
+    far = [np.abs(m.weights.toArray() - half.weights.toArray()).max() for m in (on, fresh)]
+    assert far[0] < far[1]
+
+
+def test_balanced_rows_have_exact_quotas(spark):
+    df = spark.range(110).select(F.col("id").alias("ID"), F.when(F.col("id") < 100, 1).when(
+        F.col("id") < 107, 0).otherwise(None).cast("int").alias("label"), F.lit("x").alias("idx_"))
+    got = batches.balanced_rows(df, label="label")
+    assert got.columns == df.columns
+    copies = {}
+    for r in got.collect():
+        copies[r.label, r.ID] = copies.get((r.label, r.ID), 0) + 1
+    assert sorted(v for (c, _), v in copies.items() if c == 0) == [14] * 5 + [15] * 2
+    assert all(v == 1 for (c, _), v in copies.items() if c != 0) and len(copies) == 110
+    assert batches.balanced_rows(df.limit(0), label="label").count() == 0
+
+
+def test_balanced_net_finds_a_rare_class(spark):
+    rows = [(i, Vectors.dense([float(i % 20 == 0) + 0.1 * math.sin(i), math.cos(i)]), int(i % 20 > 0))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, ["ID", "features", "label"])
+    model = mlp.fit_balanced(df, 2, hidden=[6], max_iter=80)
+    assert metrics.binary_metrics(logistic.predict(model, df, ("ID", "label"))).first()["accuracy"] == 1.0
+
+
+def test_learning_curve_follows_from_stored_coefficients(spark, points):
     x, y, df = points
-    rows = df.withColumn("places", F.array(F.col("ID"), 119 - F.col("ID"))).select(
-        "label", "places", *tfidf.entry_arrays(F.col("features"))).persist()
-    fits = [(40, 0), (120, 0), (70, 1)]
-    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
-    found = manyfits.fit_many(rows, 3, fits, 2.0, 200, 1e-9)
-    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
-    assert found.converged.all() and found.passes < 60
-    assert jobs <= 3 * found.passes  # passes, not fits, set the number of jobs
-    for i, used in enumerate((np.arange(120) < 40, np.ones(120, bool), 119 - np.arange(120) < 70)):
-        w, b = found.weights[:-1, i], found.weights[-1, i]
-        z = x[used] @ w + b
-        value = 2.0 * (np.logaddexp(0, z) - y[used] * z).sum() + w @ w / 2
-        assert abs(value - found.objective[i]) < 1e-8 * value
-        few = df.filter(F.col("ID").isin(np.flatnonzero(used).tolist()))
-        single = logistic.fit_logistic(few, c=2.0, tol=1e-12)
-        w1 = single.coefficients.toArray()
-        z = x[used] @ w1 + single.intercept
-        best = 2.0 * (np.logaddexp(0, z) - y[used] * z).sum() + w1 @ w1 / 2
-        assert abs(value - best) < 1e-6 * best
-        assert logistic.excess(single, few, c=2.0) < 1e-6
-    rows.unpersist()
-
-
-def test_joint_fits_of_one_class_and_of_no_entries(spark):
+    folds = batches.stratified_folds(df.select("ID", "label"), k=3, label="label").select("ID", "fold")
+    fits = search.curve_fits(df, folds, 2.0, k=3, steps=4).collect()
+    first = folds.filter("fold <> 0").count()
+    assert sorted({f.n_train for f in fits}) == [math.floor(first * i / 4) for i in range(1, 5)]
+    fold = {r.ID: r.fold for r in folds.collect()}
+    shares = {}
+    for f in fits:
+        z = x @ np.array(f.coefficients) + f.intercept
+        right = (z > 0) == (y == 1)
+        test = [i for i in range(120) if fold[i] == f.held_out]
+        train = [i for i in range(120) if fold[i] != f.held_out][:f.n_train]
+        assert (f.test_rows, f.test_hits) == (len(test), right[test].sum())
+        assert (f.train_rows, f.train_hits) == (len(train), right[train].sum())
+        shares.setdefault(f.n_train, []).append((right[train].mean(), right[test].mean()))
+    curve = search.learning_curve(spark.createDataFrame(fits)).orderBy("n_train").collect()
+    for r in curve:
+        train, test = zip(*shares[r.n_train])
+        assert (r.train_mean, r.train_std, r.test_mean, r.test_std) == pytest.approx(
+            (np.mean(train), np.std(train), np.mean(test), np.std(test)))
+        assert r.fits == 3 and r.held_out_rows == 120 and r.test_mean > 0.5
+    assert search.curve_fits(df.limit(0), folds.limit(0), 2.0, k=3, steps=4).count() == 0
+
+
+def test_learning_curve_recounted_by_joins_and_prefixes_of_one_class(spark):
     rows = spark.createDataFrame(
-        [([0], [1.0], 1, [0, 0]), ([], [], 1, [1, 1]), ([0], [0.5], 0, [2, 9])],
-        "indices array<int>, values array<double>, label int, places array<long>")
-    found = manyfits.fit_many(rows, 1, [(2, 0), (3, 0), (0, 1)], 2.0, 200, 1e-9)
-    assert np.isfinite(found.weights).all() and found.weights[-1, 0] > 0
-    assert not found.weights[:, 2].any() and found.objective[2] == 0
+        [(i, Vectors.sparse(3, [(i % 3, 1.0 + i % 2)]) if i % 7 else Vectors.sparse(3, []),
+          int(i >= 12 and i % 4 > 0)) for i in range(60)], ["ID", "features", "label"])
+    folds = rows.select("ID", (F.col("ID") % 3).cast("int").alias("fold"))
+    fits = search.curve_fits(rows, folds, 2.0, k=3, steps=5)
+    few = fits.filter("n_train = 8").collect()  # the first rows have one class
+    assert len(few) == 3 and all(f.intercept < -5 and max(map(abs, f.coefficients)) < 0.1 for f in few)
+    assert all(f.train_hits == 8 for f in few)
+    # Fits of a size are one fit, and yet each is that of its own rows.
+    mine = fits.filter("n_train = 40 AND held_out = 1").first()
+    alone = logistic.fit_logistic(rows.join(folds, "ID").filter("fold <> 1"), c=2.0, tol=1e-9)
+    assert alone.intercept == pytest.approx(mine.intercept, abs=2e-2)
+    assert alone.coefficients.toArray() == pytest.approx(mine.coefficients, abs=2e-2)
+    want = {(f.n_train, f.held_out): (f.test_rows, f.test_hits) for f in fits.collect()}
+    got = {(r.n_train, r.held_out): (r.test_rows, r.test_hits)
+           for r in search.recounted(fits, rows, folds).collect()}
+    assert got == want
+
+
+def test_excess_tells_a_fit_from_a_poor_one(points):
+    x, y, df = points
+    good, poor = (logistic.fit_logistic(df, c=2.0, tol=t, max_iter=m) for t, m in ((1e-12, 500), (1e-6, 1)))
+    assert logistic.excess(good, df, c=2.0) < 1e-6 < 1e-2 < logistic.excess(poor, df, c=2.0)
+    w, b = poor.coefficients.toArray(), poor.intercept
+    z = x @ w + b
+    g = 2.0 * x.T @ (1 / (1 + np.exp(-z)) - y) + w
+    free = 2.0 * (1 / (1 + np.exp(-z)) - y).sum()
+    value = 2.0 * (np.logaddexp(0, z) - y * z).sum() + w @ w / 2
+    assert logistic.excess(poor, df, c=2.0) == pytest.approx((g @ g + free**2) / 2 / value)
+    assert logistic.excess(good, df.limit(0), c=2.0) == 0
 
 
 def test_draws_change_the_net(points):

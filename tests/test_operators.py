@@ -274,9 +274,12 @@ def test_word_vector_text_file(spark, tmp_path):
 
 def test_vocabulary_sets(spark):
     docs = spark.createDataFrame([(0, "A b", "a b"), (1, "b c", "b c")], "ID long, Text string, Processed string")
-    before, after = profile.distinct_tokens(docs, "Text"), profile.distinct_tokens(docs, "Processed")
-    assert [r[0] for r in profile.vocab_removed(before, after).collect()] == ["A"]
-    assert {r[0] for r in profile.vocab_kept(before, after).collect()} == {"b", "c"}
+    assert {r[0] for r in profile.distinct_tokens(docs, "Text").collect()} == {"A", "b", "c"}
+    effect = profile.cleaning_effect(docs)
+    assert [r[0] for r in profile.vocab_removed(effect).collect()] == ["A"]
+    assert {r[0] for r in profile.vocab_kept(effect).collect()} == {"b", "c"}
+    plan = effect._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Scan") == 1
     vecs = spark.createDataFrame([("b", [1.0])], "token string, vector array<float>")
     rate = {r["variant"]: r["oov_rate"] for r in profile.oov_rate(profile.variant_tokens(docs), vecs).collect()}
     assert rate == pytest.approx({"raw": 2 / 3, "cleaned": 2 / 3})
@@ -284,6 +287,32 @@ def test_vocabulary_sets(spark):
     assert exact == {r["variant"]: r["n_tokens"] for r in profile.vocab_size(docs, approximate=True).collect()}
 
 
+def test_a_new_file_is_sketched_alone(spark):
+    docs = spark.range(6000).select(
+        (F.col("id") % 3).alias("file"), F.concat(F.lit("w"), F.col("id") % 4000).alias("Text"),
+        F.lit("x").alias("Processed"))
+    kept = profile.token_sketches(docs.filter("file < 2"), "file")
+    new = profile.token_sketches(docs.filter("file = 2"), "file")
+    both = {r.variant: r.n_tokens for r in profile.united_size(kept.union(new)).collect()}
+    assert both == {r.variant: r.n_tokens for r in profile.united_size(profile.token_sketches(docs, "file")).collect()}
+    assert both["cleaned"] == 1 and abs(both["raw"] / 4000 - 1) < 3 * profile.SKETCH_ERROR
+    assert {r.part for r in kept.collect()} == {0, 1} and {r.part for r in new.collect()} == {2}
+
+
+def test_density_meets_near_points_only(spark):
+    rng = np.random.default_rng(3)
+    lengths = np.concatenate([rng.integers(1, 40, 300), [5000, 5000, 5001]])
+    df = spark.createDataFrame([(1, int(x)) for x in lengths], "Label int, length int")
+    got = {r.point: (r.x, r.density) for r in profile.length_density(df).collect()}
+    h = lengths.std(ddof=1) * len(lengths) ** -0.2
+    x = np.linspace(lengths.min(), lengths.max(), 200)
+    want = np.exp(-0.5 * ((x[:, None] - lengths) / h) ** 2).sum(axis=1) / (h * math.sqrt(2 * math.pi))
+    want *= (lengths.max() - lengths.min()) / 50
+    assert [got[p][0] for p in range(200)] == pytest.approx(x.tolist())
+    assert [got[p][1] for p in range(200)] == pytest.approx(want.tolist(), abs=1e-9)
+    assert any(d == 0 for _, d in got.values())
+
+
 def test_one_class_has_no_area_and_leaves_other_models_alone(spark):
     rows = spark.createDataFrame(
         [("a", "s", 1, 1, 1, .9), ("a", "s", 2, 0, 0, .2), ("b", "s", 3, 1, 1, .5)],

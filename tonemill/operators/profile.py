@@ -75,13 +75,55 @@ def top_tokens(df: DataFrame, text: str = "Processed", n: int = TOP_N) -> DataFr
     return token_counts(df, text).orderBy(F.desc("n"), "token").limit(n)
 
 
-def vocab_removed(before: DataFrame, after: DataFrame) -> DataFrame:
+RAW, CLEANED = 1, 2
+
+
+def cleaning_effect(df: DataFrame, raw: str = "Text", cleaned: str = "Processed") -> DataFrame:
+    """``token, found``: each distinct token with a bit for raw and one for cleaned texts.
+
+    One scan and one shuffle, in which the bits of a token are or-ed before and after.
+    """
+    def marked(text: str, bit: int) -> Column:
+        return F.transform(F.array_distinct(ws_tokens(F.col(text))), lambda t: F.struct(
+            t.alias("token"), F.lit(bit).alias("bit")))
+
+    both = F.concat(marked(raw, RAW), marked(cleaned, CLEANED))
+    return df.select(F.inline(both)).groupBy("token").agg(F.bit_or("bit").alias("found"))
+
+
+def vocab_removed(effect: DataFrame) -> DataFrame:
     """Tokens that cleaning made disappear."""
-    return before.subtract(after)
+    return effect.filter(F.col("found") == RAW).select("token")
+
+
+def vocab_kept(effect: DataFrame) -> DataFrame:
+    """Tokens that texts have before and after cleaning."""
+    return effect.filter(F.col("found") == RAW + CLEANED).select("token")
 
 
-def vocab_kept(before: DataFrame, after: DataFrame) -> DataFrame:
-    return before.intersect(after)
+SKETCH_K = 14
+#: Relative standard error of an estimate from a sketch of ``2 ** SKETCH_K`` registers.
+SKETCH_ERROR = 0.0082
+
+
+def token_sketches(df: DataFrame, part: str, raw: str = "Text", cleaned: str = "Processed") -> DataFrame:
+    """``part, variant, sketch``: distinct tokens of every part of the table as a mergeable sketch.
+
+    Sketches of parts can be kept in a table. A new part, such as a file, is sketched alone and
+    added to it, without reading the others again.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(name).alias("variant"), ws_tokens(F.col(c)).alias("tokens"))
+        for name, c in (("raw", raw), ("cleaned", cleaned))])
+    rows = df.select(F.col(part).alias("part"), F.inline(pairs)).select(
+        "part", "variant", F.explode("tokens").alias("token"))
+    return rows.groupBy("part", "variant").agg(F.hll_sketch_agg("token", SKETCH_K).alias("sketch"))
+
+
+def united_size(sketches: DataFrame) -> DataFrame:
+    """``variant, n_tokens``: about how many distinct tokens all parts have together."""
+    return sketches.groupBy("variant").agg(
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("n_tokens"))
 
 
 def oov_tokens(vocab: DataFrame, vectors: DataFrame) -> DataFrame:
@@ -134,12 +176,15 @@ def length_histogram(lengths: DataFrame, by: str = "Label", bins: int = HIST_BIN
                     F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0)).alias("n")))
 
 
+REACH = 9.0
+
+
 def length_density(lengths: DataFrame, by: str = "Label", bins: int = HIST_BINS,
                    points: int = KDE_POINTS) -> DataFrame:
     """Gaussian kernel density of length per group on an even grid, scaled to histogram counts.
 
     Rows are first reduced to distinct lengths with counts; each then adds its kernel to the
-    grid. Bandwidth is Scott's rule with the sample standard deviation. A group of one row or of
+    grid points within ``REACH`` bandwidths, beyond which it has less than 1e-17 of its height. Bandwidth is Scott's rule with the sample standard deviation. A group of one row or of
     equal lengths has no bandwidth and gets no curve.
     """
     counts = _with_range(lengths, by, True)
@@ -153,15 +198,21 @@ def length_density(lengths: DataFrame, by: str = "Label", bins: int = HIST_BINS,
             * F.pow(total.cast("double"), F.lit(-0.2))).alias("bandwidth")
     ).filter(F.col("bandwidth").isNotNull())
     width = (F.col("hi") - F.col("lo")).cast("double")
-    grid = F.col("lo") + F.col("point") * width / float(points - 1)
-    u = (F.col("x") - F.col("length")) / F.col("bandwidth")
+    step = F.greatest(width / float(points - 1), F.lit(1e-300))
+    reach = F.lit(REACH) * F.col("bandwidth")
+    first = F.greatest(F.ceil((F.col("length") - reach - F.col("lo")) / step), F.lit(0))
+    last = F.least(F.floor((F.col("length") + reach - F.col("lo")) / step), F.lit(points - 1))
+    band = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
+    x = F.col("lo") + F.col("point") * width / float(points - 1)
+    u = (x - F.col("length")) / F.col("bandwidth")
     root = F.lit(2.5066282746310002)  # sqrt(2 pi)
     kernel = F.col("n") * F.exp(-0.5 * u * u) / (F.col("bandwidth") * root)
-    return (counts.join(stats, by)
-            .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
-            .withColumn("x", grid)
-            .groupBy(by, "point", "x")
-            .agg((F.sum(kernel) * F.first(width) / float(bins)).alias("density")))
+    sums = (counts.join(stats, by).withColumn("point", F.explode(band))
+            .groupBy(by, "point").agg(F.sum(kernel).alias("mass")))
+    grid = (counts.groupBy(by).agg(F.first("lo").alias("lo"), F.first("hi").alias("hi")).join(stats, by)
+            .withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1)))))
+    return grid.join(sums, [by, "point"], "left").select(
+        by, "point", x.alias("x"), (F.coalesce("mass", F.lit(0.0)) * width / float(bins)).alias("density"))
 
 
 def limit_share(lengths: DataFrame, limit: int, by: str = "split") -> DataFrame:

@@ -8,11 +8,12 @@ import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tonemill.constants import CURVE_STEPS, FOLDS, LOGISTIC_C, MLP_HIDDEN, SEED
 from tonemill.functions import scores
 from tonemill.models import logistic, mlp, scoring, search
-from tonemill.operators import batches, metrics, tfidf, trials, vectors
+from tonemill.operators import batches, metrics, tfidf, vectors
 from tonemill.operators.rows import attach_predictions, clean
 from tonemill.plans.materialize import materialize, new_path
 from tonemill.queries import corpus, sql
@@ -26,6 +27,8 @@ SEARCH_SPACE = {
     "H3": ("int", 32, lambda p: min(p["H2"], 96)),
 }
 SEARCH_TRIALS = 18
+#: Steps of each rung, and the share of draws that goes on: 18, 6 and 2 nets.
+SEARCH_RUNGS, SEARCH_KEEP = (5, 10, 20), 3
 
 #: Share of the objective that a fit may miss, and still be called optimal.
 OPTIMAL = 1e-4
@@ -50,7 +53,8 @@ def _fitted(spark, sf):
         rows = _term_rows(spark, sf)
         train = rows.filter("split = 'train'")
         features = tfidf.fit_tfidf(train).model()
-        model = logistic.fit_logistic(features.transform(train))
+        model = logistic.fit_logistic(materialize(
+            features.transform(train).select("features", "label"), "features"))
         logistic.save_model(logistic.with_features(features, model), path)
 
     path = corpus.once(spark, sf, "logistic", write)
@@ -120,16 +124,15 @@ def _pooled(spark, sf):
 @query("mlp_fit", f"""
 SELECT split, count(*) AS n, TRUE AS sums_to_one, TRUE AS learns FROM ({_ROWS}) GROUP BY split""")
 def mlp_fit(spark, sf):
-    """Rows of each split, whether class probabilities sum to 1, and whether the net is right
-    about its training rows no less often than the larger class is."""
+    """Rows of each split, whether class probabilities sum to 1, and whether the net tells the classes
+    of its training rows apart: it recalls over half of either, which no constant answer does."""
     rows, dim = _pooled(spark, sf)
-    model = mlp.fit_mlp(rows.filter("split = 'train'"), dim, MLP_HIDDEN)
+    model = mlp.fit_balanced(rows.filter("split = 'train'"), dim, hidden=MLP_HIDDEN)
     total = F.aggregate(vector_to_array("probability"), F.lit(0.0), lambda a, p: a + p)
-    hit, one = (F.avg(x.cast("int")) for x in (
-        F.col("prediction") == F.col("label"), F.col("label") == 1))
+    recall = [F.avg(F.when(F.col("label") == c, (F.col("prediction") == c).cast("int"))) for c in (0, 1)]
     return model.transform(rows).groupBy("split").agg(
         F.count("*").alias("n"), F.bool_and(F.abs(total - 1) < 1e-9).alias("sums_to_one"),
-        ((F.col("split") != "train") | (hit >= F.greatest(one, 1 - one))).alias("learns"))
+        ((F.col("split") != "train") | (F.least(*recall) > 0.5)).alias("learns"))
 
 
 def _draw(name: str, low: str, high: str) -> str:
@@ -141,41 +144,64 @@ def _draw(name: str, low: str, high: str) -> str:
 WITH a AS (SELECT range AS trial, CAST(range AS VARCHAR) AS t FROM range({SEARCH_TRIALS})),
 b AS (SELECT trial, t, {_draw('H1', '400', '512')} AS H1 FROM a),
 c AS (SELECT *, {_draw('H2', '128', 'least(H1, 256)')} AS H2 FROM b)
-SELECT 0 AS study, CAST(trial AS INTEGER) AS trial, H1, H2,
-       {_draw('H3', '32', 'least(H2, 96)')} AS H3, TRUE AS best_holds FROM c""")
+SELECT CAST(trial AS INTEGER) AS trial, H1, H2, {_draw('H3', '32', 'least(H2, 96)')} AS H3,
+       CAST({SEARCH_TRIALS} AS BIGINT) AS first_rung, CAST({SEARCH_TRIALS} // {SEARCH_KEEP} AS BIGINT) AS second_rung,
+       CAST({SEARCH_TRIALS} // {SEARCH_KEEP} // {SEARCH_KEEP} AS BIGINT) AS last_rung,
+       CAST(1 AS BIGINT) AS winners, TRUE AS best_went_on FROM c""")
 def param_search(spark, sf):
-    """The trials, and whether the best value so far is a share that no trial before exceeds."""
+    """The draws, how many reached each rung, and whether just the best of each rung went on.
+
+    The last is found by ranking the values of each rung anew; it is false for a search that lets
+    a worse draw go on than one it drops, or names a winner that another one beats."""
     rows, dim = _pooled(spark, sf)
-    train, val = rows.filter("split = 'train'").persist(), rows.filter("split = 'val'").persist()
+    train = materialize(batches.balanced_rows(rows.filter("split = 'train'"), label="label"), "train")
+    val = rows.filter("split = 'val'")
 
-    def accuracy(params):
-        hidden = [params["H1"], params["H2"], params["H3"]]
-        model = mlp.fit_mlp(train, dim, hidden)
+    def accuracy(params, steps, state):
+        model = mlp.fit_mlp(train, dim, [params["H1"], params["H2"], params["H3"]], steps, start=state)
         return metrics.binary_metrics(
-            logistic.predict(model, val, ("ID", "label"))).first()["accuracy"]
-
-    found = search.search_params(spark, SEARCH_SPACE, SEARCH_TRIALS, SEED, accuracy)
-    train.unpersist()
-    val.unpersist()
-    best = trials.running_best(found).select("study", "trial", "best_value")
-    return found.join(best, ["study", "trial"]).select(
-        "study", "trial", *[F.element_at("params", F.lit(name)).cast("long").alias(name)
-                            for name in SEARCH_SPACE],
-        ((F.col("best_value") >= F.col("value")) & F.col("best_value").between(0, 1)).alias("best_holds"))
+            logistic.predict(model, val, ("ID", "label"))).first()["accuracy"], model.weights
+
+    found = search.successive_halving(
+        spark, SEARCH_SPACE, SEARCH_TRIALS, SEED, accuracy, SEARCH_RUNGS, SEARCH_KEEP)
+    ranked = found.withColumn("rank", F.row_number().over(
+        Window.partitionBy("rung").orderBy(F.desc("value"), "trial"))).withColumn(
+        "size", F.count("*").over(Window.partitionBy("rung")))
+    last = F.col("rung") == len(SEARCH_RUNGS) - 1
+    chosen = F.col("rank") <= F.when(last, 1).otherwise(F.floor(F.col("size") / SEARCH_KEEP))
+    sound = ranked.agg(
+        *[F.count_if(F.col("rung") == r).alias(name) for r, name in enumerate(
+            ("first_rung", "second_rung", "last_rung"))],
+        F.count_if("winner").alias("winners"),
+        F.bool_and((F.col("goes_on") | F.col("winner")) == chosen).alias("best_went_on"))
+    names = [F.element_at("params", F.lit(name)).cast("long").alias(name) for name in SEARCH_SPACE]
+    # One row of counts beside the draws.
+    return found.filter("rung = 0").select("trial", *names, *[
+        sound.select(c).scalar().alias(c) for c in sound.columns])
 
 
 @query("learning_curve", f"""
 WITH r AS (SELECT count(*) AS n FROM ({_ROWS})),
 s AS (SELECT n, greatest((n - (n + {FOLDS - 1}) // {FOLDS}) * i // {CURVE_STEPS}, 1) AS n_train
       FROM r, range(1, {CURVE_STEPS + 1}) t(i))
-SELECT DISTINCT n_train, CAST({FOLDS} AS BIGINT) AS fits, n AS held_out_rows, TRUE AS at_optimum FROM s""")
+SELECT DISTINCT n_train, CAST({FOLDS} AS BIGINT) AS fits, n AS held_out_rows, TRUE AS is_share,
+       TRUE AS by_weights FROM s""")
 def learning_curve(spark, sf):
-    """Sizes, fits and held-out rows, and whether every fit reached its optimum."""
+    """Sizes, fits and held-out rows; whether means and deviations are those of shares, and whether
+    the held-out accuracy follows from the coefficients that each fit stored."""
     rows = _term_rows(spark, sf)
-    folds = batches.stratified_folds(rows.select("ID", "label"), label="label")
-    features = tfidf.fit_tfidf(rows).transform(rows).select("ID", "features", "label")
-    return search.learning_curve(features, folds, LOGISTIC_C).select(
-        "n_train", "fits", "held_out_rows", "at_optimum")
+    folds = batches.stratified_folds(rows.select("ID", "label"), label="label").drop("label")
+    features = materialize(
+        tfidf.fit_tfidf(rows).transform(rows).select("ID", "features", "label"), "features")
+    folds = materialize(folds, "folds")
+    fits = materialize(search.curve_fits(features, folds, LOGISTIC_C), "fits")
+    again = search.recounted(fits, features, folds).groupBy("n_train").agg(
+        F.avg(F.col("test_hits") / F.col("test_rows")).alias("again"))
+    share = (F.col("test_mean").between(0, 1) & F.col("train_mean").between(0, 1)
+             & F.col("test_std").between(0, 0.5) & F.col("train_std").between(0, 0.5))
+    return search.learning_curve(fits).join(again, "n_train").select(
+        "n_train", "fits", "held_out_rows", share.alias("is_share"),
+        (F.abs(F.col("test_mean") - F.col("again")) < 1e-9).alias("by_weights"))
 
 
 @query("score_batches", """
@@ -197,3 +223,21 @@ def score_batches(spark, sf):
         "ID", (F.round(F.get("logits", F.lit(1)), 6) + 0.0).alias("logit"),
         scores.argmax_class(F.col("logits")).alias("prediction"),
         F.round(scores.softmax_score(F.col("logits")), 6).alias("score"))
+
+
+@query("score_saved_model", f"SELECT split, ID, TRUE AS by_model, TRUE AS fits FROM ({_ROWS})")
+def score_saved_model(spark, sf):
+    """Every labelled row scored in padded batches by the saved weights of the fitted model: its
+    score must be that of the model itself, and its entries must fit into its batch."""
+    rows, model = _fitted(spark, sf)
+    fitted, path = model.stages[-1], new_path(spark, "weights")
+    scoring.save_weights(spark, fitted.coefficients.toArray(), fitted.intercept, path)
+    entries = PipelineModel(model.stages[:-1]).transform(rows).select(
+        "ID", "split", *tfidf.entry_arrays(F.col("features")))
+    scored = scoring.score_padded(entries, path)
+    sizes = entries.select("ID", "split", F.size("indices").alias("n"))
+    whole = logistic.predict(model, rows).select("ID", F.col("score").alias("whole"))
+    return scored.join(sizes, "ID").join(whole, "ID").select(
+        "split", "ID",
+        (F.abs(scores.softmax_score(F.col("logits")) - F.col("whole")) <= 1e-9).alias("by_model"),
+        (F.col("n") <= F.col("width")).alias("fits"))

@@ -48,6 +48,22 @@ def vocab_size(spark, sf):
     return profile.vocab_size(corpus.cleaned(spark, sf))
 
 
+@query("vocab_size_sketch", f"""
+SELECT variant, count(*) AS n_exact, (SELECT count(DISTINCT source) FROM documents) AS parts,
+       TRUE AS within_error FROM ({_VARIANTS}) GROUP BY variant""")
+def vocab_size_sketch(spark, sf):
+    """Distinct tokens from one sketch per source, united, beside the exact number: the estimate
+    must lie within three standard errors of it."""
+    docs = corpus.cleaned(spark, sf)
+    sources = corpus.table(spark, sf, "documents").select(F.col("doc_id").alias("ID"), "source")
+    sketches = profile.token_sketches(docs.join(sources, "ID"), "source")
+    parts = sketches.groupBy("variant").agg(F.count("*").alias("parts"))
+    exact = profile.vocab_size(docs).withColumnRenamed("n_tokens", "n_exact")
+    return profile.united_size(sketches).join(exact, "variant").join(parts, "variant").select(
+        "variant", "n_exact", "parts",
+        (F.abs(F.col("n_tokens") / F.col("n_exact") - 1) <= 3 * profile.SKETCH_ERROR).alias("within_error"))
+
+
 @query("token_counts", sql.token_counts())
 def token_counts(spark, sf):
     return profile.token_counts(corpus.cleaned(spark, sf))
@@ -63,21 +79,16 @@ def distinct_tokens(spark, sf):
     return profile.distinct_tokens(corpus.documents(spark, sf), "Text")
 
 
-def _vocabularies(spark, sf):
-    docs = corpus.cleaned(spark, sf)
-    return profile.distinct_tokens(docs, "Text"), profile.distinct_tokens(docs, "Processed")
-
-
 @query("vocab_removed", f"SELECT token FROM ({_VARIANTS}) WHERE variant = 'raw' "
                         f"EXCEPT SELECT token FROM ({_VARIANTS}) WHERE variant = 'cleaned'")
 def vocab_removed(spark, sf):
-    return profile.vocab_removed(*_vocabularies(spark, sf))
+    return profile.vocab_removed(profile.cleaning_effect(corpus.cleaned(spark, sf)))
 
 
 @query("vocab_kept", f"SELECT token FROM ({_VARIANTS}) WHERE variant = 'raw' "
                      f"INTERSECT SELECT token FROM ({_VARIANTS}) WHERE variant = 'cleaned'")
 def vocab_kept(spark, sf):
-    return profile.vocab_kept(*_vocabularies(spark, sf))
+    return profile.vocab_kept(profile.cleaning_effect(corpus.cleaned(spark, sf)))
 
 
 _LENGTHS = f"SELECT ID, Label, length(Text) AS length FROM ({sql.LABELLED})"

@@ -81,8 +81,8 @@ def test_every_occurrence_once():
     rng = np.random.default_rng(2)
     numbers = rng.integers(0, 5, 500).astype(np.int32)
     numbers[0] = 0
-    index, hashes = phrases.Index(numbers, 5), np.arange(1, 5, dtype=np.uint64) * np.uint64(977)
-    level = index.words(hashes)
+    index, hashes = phrases.Index(numbers, 6), (np.arange(1, 5, dtype=np.uint64) * np.uint64(977),)
+    level = index.words(*hashes)
     for length in range(1, 6):
         want = collections.Counter(
             tuple(numbers[i:i + length].tolist()) for i in range(len(numbers) - length + 1)
@@ -90,7 +90,7 @@ def test_every_occurrence_once():
         at = index.order[level.low]
         got = {tuple(int(numbers[(a + i) % 500]) for i in range(length)): int(n)
                for a, n in zip(at, level.size)}
-        assert got == want and len(set(level.hashes.tolist())) == len(want)
+        assert got == want and len(set(level.hashes[0].tolist())) == len(want)
         level = index.longer(level, hashes, length)
 
 
@@ -100,3 +100,22 @@ def test_large_counts_are_exact(spark):
         phrases._big("a", 18) * phrases._big("n", 15) * phrases.F.lit(1000).cast("decimal(4,0)"),
         phrases._big("l", 18) * phrases._big("r", 18)).cast("long")).first()[0]
     assert got == 1000 * 10**12 * 10**13 // 10**24
+
+
+def test_numbers_that_frequent_phrases_cover(spark):
+    numbers = np.array([0, 1, 2, 3, 1, 0, 2, 3, 4], np.int32)
+    hashes = np.arange(1, 5, dtype=np.uint64) * np.uint64(977)
+    frequent = phrases._joined(hashes[[1]], hashes[[2]], 1)  # words 2 and 3
+    bits = phrases._filter(spark.createDataFrame([(int(frequent.view(np.int64)[0]),)], "hash1 long"))
+    assert np.unpackbits(bits).sum() == 1 and phrases._passes(bits, frequent).all()
+    kept, place = phrases._covered(numbers, hashes, 2, bits)
+    assert kept.tolist() == [0, 2, 3, 0, 2, 3] and place.tolist() == [0, 2, 3, 0, 6, 7]
+    assert len(phrases._covered(numbers, hashes, 2, bits * 0)[0]) == 0
+
+
+def test_a_full_filter_changes_nothing(spark, monkeypatch):
+    data = rows()[:120]
+    docs = spark.createDataFrame([(*r, 7, ["x"], 7, "p") for r in data], SCHEMA)
+    monkeypatch.setattr(phrases, "_filter", lambda often: np.full(1 << 24, 255, np.uint8))
+    got = phrases.collocations(docs, 10, 1000)
+    assert sorted(tuple(r) for r in got.collect()) == expected(data, 10, 1000, 5)

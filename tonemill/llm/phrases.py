@@ -1,19 +1,22 @@
 """Collocations: frequent phrases of a few words, by FM-indexes over word numbers.
 
 Texts are cut to pieces at punctuation and line ends and pieces to words; phrases lie within a
-piece. The words of each language are packed into shards, as numbers with a gap between pieces.
-A shard's index is the Burrows-Wheeler transform of its numbers and that of the reversed numbers.
-Suffixes are ordered by their first ``longest`` words only, which is all that phrases of that length need.
-
-Phrases are intervals in both transforms. All phrases of a length are extended at once: by a word on
-the left, which moves an interval of the forward transform and refines that of the reversed one, and
-by a word on the right, the other way round. Both ways give the same longer phrases, each met once
-from its suffix and once from its prefix, and an extension is kept if both are frequent.
-
-What is frequent is known for the whole corpus: after each length the counts of all shards are summed,
-by a 64-bit hash of the phrase, and go back to the shards that hold the phrase. A sum of hashes that
-collide is too high, never too low, so no frequent phrase is lost. The last pass sums by the phrase
-itself. No count is cut off in a shard, so results do not depend on how texts lie in shards.
+piece. A first pass counts words; a second packs the words of each language into shards, as
+numbers with a gap between pieces and in place of words that are not frequent.
+
+Phrases are found length by length. Most runs of words are rare, so those whose parts are frequent
+are first counted by one hash alone. A shard is then cut down to the places that frequent hashes cover, and indexed by the Burrows-Wheeler transforms of its numbers and of
+the reversed numbers; suffixes are ordered by as many words as phrases have, which is all that is
+needed. Phrases are intervals in both transforms, and all phrases of a length are extended at once: by a
+word on the left, which moves an interval of the forward transform and refines that of the
+reversed one, and by a word on the right, the other way round. Both ways give the same longer
+phrases, each met once from its suffix and once from its prefix.
+
+The counts of all shards are then summed, by a 128-bit hash of language and phrase. What is frequent
+in the corpus goes back to the shards as a filter of ``FILTER_BITS`` bits, whatever its number: one
+bit per hash. A bit that two phrases share only lets a phrase pass that its sum rejects later, so
+the filter saves work and decides nothing. No count is cut off in a shard, so results do not
+depend on how texts lie in shards. A frequent phrase is spelled once, by the first shard that holds it.
 
 Scores are whole numbers, multiplied as decimals of 38 digits.
 
@@ -26,6 +29,7 @@ columns may have any name; an empty table gives no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -38,144 +42,214 @@ from tonemill.llm import buffers
 from tonemill.plans.materialize import materialize
 
 SHARD_WORDS = 1 << 20
+#: Bits of the filter that is broadcast (16 MB).
+FILTER_BITS = 27
 #: Bytes of words that a task holds of all languages before it packs the largest into a shard.
 HELD_BYTES = 1 << 26
+#: Bits of a code that tell the place in a shard (more than a text can have words), and bits
+#: that number the shards of a task; the others number the task.
+PLACE_BITS, SHARD_BITS = 30, 12
 
 _GAPS = buffers.SPACE.copy()
 _ENDS = np.zeros(256, bool)
 _ENDS[[10, 11, 12, 13, *b".,;:!?"]] = True
 _GAPS |= _ENDS
-_SEED = 12
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_SEEDS = (12, 13)
+_STEP = 0x9E3779B97F4A7C15
+_SHARD = ("shard long, lang string, words array<string>, hash1 array<long>, hash2 array<long>, "
+          "numbers binary, n long")
+
+
+# What is frequent --------------------------------------------------------------------------------
+
+def _filter(often: DataFrame) -> np.ndarray:
+    """A bit for every ``hash1`` of the table; its size does not depend on the table's."""
+    bit = F.col("hash1").bitwiseAND(F.lit((1 << FILTER_BITS) - 1)) + 1
+    maps = often.select(F.bitmap_bucket_number(bit).alias("bucket"),
+                        F.bitmap_bit_position(bit).alias("bit")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((1 << FILTER_BITS) >> 15 << 12, np.uint8)
+    for r in maps.toLocalIterator():  # 4 KB each, as many as the filter has
+        at = (r["bucket"] - 1) << 12
+        out[at: at + len(r["bits"])] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = hashes & np.uint64((1 << FILTER_BITS) - 1)
+    return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
 # Texts to shards ---------------------------------------------------------------------------------
 
-def _pieces(texts: pa.Array):
-    """Lower-cased bytes, starts and ends of all words, and the piece of each."""
-    data, offsets = buffers.utf8(texts)
+def _words(batch: pa.RecordBatch):
+    """Lower-cased bytes; of every word its start, end, row and 64-bit hash."""
+    data, offsets = buffers.utf8(batch.column("text"))
     data = buffers.LOWER[data]
     starts, ends, rows = buffers.words(data, offsets, _GAPS)
-    breaks = np.cumsum(_ENDS[data])
-    piece = rows + (breaks[starts] if len(starts) else 0)  # rises with the row and with each end
-    return data, starts, ends, piece
+    return data, starts, ends, rows, buffers.SpanHash(data, _SEEDS[0]).of(starts, ends)
 
 
-class _Pack:
-    """Words of one language, kept as distinct words and numbers until a shard is full."""
+def _lang_hash(langs: pa.Array, seed: int) -> np.ndarray:
+    data, offsets = buffers.utf8(langs)
+    return buffers.SpanHash(data, seed).of(offsets[:-1], offsets[1:])
+
+
+def _frequent_words(rows: DataFrame, least: int) -> DataFrame:
+    """``hash1`` of the words, each with its language, that occur ``least`` times."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b in buffers.slices(batch.column("text"), 8 * buffers.CHUNK_BYTES):
+                part = batch.slice(a, b - a)
+                _, starts, _, row, hashes = _words(part)
+                if len(starts):
+                    hashes = buffers.mix(hashes + _lang_hash(part.column("lang"), _SEEDS[0])[row])
+                    distinct, n = np.unique(hashes, return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(distinct.view(np.int64)), pa.array(n)], names=["hash1", "n"])
+
+    return _sums(rows.mapInArrow(run, "hash1 long, n long"), least)
+
 
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
-        self.spelled: dict[int, bytes] = {}
+def _sums(held: DataFrame, least: int) -> DataFrame:
+    return held.groupBy("hash1").agg(F.sum("n").alias("a")).filter(F.col("a") >= least)
+
+
+class _Pack:
+    """Words of one language: the distinct frequent ones, and all numbers with gaps between."""
+
+    def __init__(self, lang: str, bits: np.ndarray):
+        self.lang, self.bits = lang, bits
+        self.of_lang = [_lang_hash(pa.array([lang]), seed) for seed in _SEEDS]
+        self.number: dict[int, int] = {}
+        self.words: list[bytes] = []
+        self.parts: list[np.ndarray] = []
         self.n = self.bytes = 0
 
-    def add(self, data, starts, ends, piece, hashes):
-        distinct, first = np.unique(hashes, return_index=True)
-        raw = data.tobytes()
-        for h, i in zip(distinct.tolist(), first.tolist()):
-            if h not in self.spelled:
-                self.spelled[h] = raw[starts[i]: ends[i]]
-                self.bytes += 100 + int(ends[i] - starts[i])
+    def add(self, raw: bytes, starts, ends, piece, hashes) -> None:
+        distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
+        known = np.flatnonzero(_passes(self.bits, buffers.mix(distinct + self.of_lang[0])))
+        numbers = np.zeros(len(distinct), np.int32)
+        for i, h, a, b in zip(known.tolist(), distinct[known].tolist(),
+                              starts[first[known]].tolist(), ends[first[known]].tolist()):
+            number = self.number.get(h)
+            if number is None:
+                number = self.number[h] = len(self.words) + 1
+                self.words.append(raw[a:b])
+                self.bytes += 150 + b - a
+            numbers[i] = number
         fresh = np.ones(len(piece), bool)
         fresh[1:] = piece[1:] != piece[:-1]
-        self.parts.append((hashes, fresh))
-        self.n += len(hashes)
-        self.bytes += 9 * len(hashes)
-
-    def shard(self):
-        """The distinct words in order of their hash, their counts, and all numbers, 0 at gaps."""
-        hashes = np.concatenate([h for h, _ in self.parts])
-        fresh = np.concatenate([f for _, f in self.parts])
-        known, at, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-        numbers = np.zeros(len(hashes) + int(fresh.sum()), np.int32)
-        numbers[np.arange(len(hashes)) + np.cumsum(fresh)] = at + 1
-        words = [self.spelled[h].decode("utf-8", "replace") for h in known.tolist()]
-        return words, known, counts, numbers
-
-
-def to_shards(docs: DataFrame, text: str, lang: str, shard_words: int) -> DataFrame:
-    """``shard, lang, words, hashes, counts, numbers``: some ``shard_words`` words of a language each."""
-    def emit(name: str, pack: _Pack, shard: int) -> pa.RecordBatch:
-        words, hashes, counts, numbers = pack.shard()
+        out = np.zeros(len(piece) + int(fresh.sum()), np.int32)
+        out[np.arange(len(piece)) + np.cumsum(fresh)] = numbers[at]
+        out = out[(out > 0) | (np.concatenate([[1], out[:-1]]) > 0)]
+        self.parts.append(out)
+        self.n += len(piece)
+        self.bytes += out.nbytes
+
+    def batch(self, shard: int) -> pa.RecordBatch:
+        numbers = np.concatenate(self.parts)
+        words = pa.array([w.decode("utf-8", "replace") for w in self.words], pa.string())
+        data, offsets = buffers.utf8(words)
+        hashes = [buffers.mix(buffers.SpanHash(data, seed).of(offsets[:-1], offsets[1:]) + own)
+                  for seed, own in zip(_SEEDS, self.of_lang)]
+        longs = [pa.array([h.view(np.int64)], pa.list_(pa.int64())) for h in hashes]
         return pa.RecordBatch.from_arrays(
-            [pa.array([shard]), pa.array([name]), pa.array([words], pa.list_(pa.string())),
-             pa.array([hashes.view(np.int64)], pa.list_(pa.int64())),
-             pa.array([counts], pa.list_(pa.int64())), pa.array([numbers.tobytes()], pa.binary())],
-            names=["shard", "lang", "words", "hashes", "counts", "numbers"])
+            [pa.array([shard]), pa.array([self.lang]), pa.array([words], pa.list_(pa.string())), *longs,
+             pa.array([numbers.astype(_width(len(words))).tobytes()], pa.binary()), pa.array([self.n])],
+            names=["shard", "lang", "words", "hash1", "hash2", "numbers", "n"])
+
+
+def _width(n_words: int) -> type:
+    return np.uint16 if n_words < 1 << 16 else np.int32
+
+
+def to_shards(rows: DataFrame, bits: np.ndarray, shard_words: int) -> DataFrame:
+    """``shard, lang, words, hash1, hash2, numbers, n``: up to some ``shard_words`` words each.
+
+    ``n`` counts all words, the others are those that pass the filter.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, packs = TaskContext.get().partitionId() << 33, {}
+        shard, packs = TaskContext.get().partitionId() << SHARD_BITS, {}
         for batch in batches:
             for a, b in buffers.slices(batch.column("text")):
                 part = batch.slice(a, b - a)
-                data, starts, ends, piece = _pieces(part.column("text"))
+                data, starts, ends, rows, hashes = _words(part)
                 if not len(starts):
                     continue
-                _, offsets = buffers.utf8(part.column("text"))
-                rows = buffers.rows_of(starts, offsets)
-                hashes = buffers.SpanHash(data, _SEED).of(starts, ends)
-                names = part.column("lang").dictionary_encode()
+                piece = rows + np.cumsum(_ENDS[data])[starts]  # rises with the row and with each end
+                raw, names = data.tobytes(), part.column("lang").dictionary_encode()
                 code = names.indices.to_numpy()[rows]
                 for c in np.unique(code).tolist():
-                    own = code == c
-                    name = names.dictionary[c].as_py()
-                    pack = packs.setdefault(name, _Pack())
-                    pack.add(data, starts[own], ends[own], piece[own], hashes[own])
-                    if pack.n >= shard_words:
-                        yield emit(name, packs.pop(name), shard)
+                    own, name = code == c, names.dictionary[c].as_py()
+                    if name not in packs:
+                        packs[name] = _Pack(name, shared.value)
+                    packs[name].add(raw, starts[own], ends[own], piece[own], hashes[own])
+                    if packs[name].n >= shard_words:
+                        yield packs.pop(name).batch(shard)
                         shard += 1
                 while sum(p.bytes for p in packs.values()) > HELD_BYTES:
                     name = max(packs, key=lambda x: packs[x].bytes)
-                    yield emit(name, packs.pop(name), shard)
+                    yield packs.pop(name).batch(shard)
                     shard += 1
-        for name, pack in packs.items():
-            yield emit(name, pack, shard)
+        for pack in packs.values():
+            yield pack.batch(shard)
             shard += 1
 
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
-                       F.col(text).alias("text"))
-    return materialize(rows.mapInArrow(
-        run, "shard long, lang string, words array<string>, hashes array<long>, "
-             "counts array<long>, numbers binary"), "shards")
+    return materialize(rows.mapInArrow(run, _SHARD), "shards")
+
+
+def _numbers(row: pa.RecordBatch) -> np.ndarray:
+    words = row.column("words").flatten()
+    return np.frombuffer(row.column("numbers")[0].as_buffer(), _width(len(words))).astype(np.int32)
+
+
+def _each_shard(run):
+    """``run`` on a shard at a time, where the shards lie."""
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(len(batch)):
+                yield run(batch.slice(i, 1))
+    return over
 
 
 # The index of a shard ----------------------------------------------------------------------------
 
 def _order(numbers: np.ndarray, depth: int) -> np.ndarray:
     """Cyclic suffixes in order of their first ``depth`` numbers."""
-    rank, known, order = numbers.astype(np.int64), 1, np.argsort(numbers, kind="stable")
+    rank, known, order = numbers.astype(np.int64), 1, None
     while known < depth:
         step = min(known, depth - known)
         pairs = rank * (int(rank.max()) + 1) + np.roll(rank, -step)
         order = np.argsort(pairs)
-        rank = np.empty_like(pairs)
-        rank[order] = np.concatenate([[0], np.cumsum(np.diff(pairs[order]) != 0)])
         known += step
-    return order
+        if known < depth:
+            rank[order] = np.concatenate([[0], np.cumsum(np.diff(pairs[order]) != 0)])
+    return (np.argsort(numbers, kind="stable") if order is None else order).astype(np.int32)
 
 
 def _steps(numbers: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The transform, and where each of its places moves when its word is put in front."""
     before = numbers[order - 1]
-    to = np.empty(len(order), np.int64)
-    to[np.argsort(before, kind="stable")] = np.arange(len(order))
+    to = np.empty(len(order), np.int32)
+    to[np.argsort(before, kind="stable")] = np.arange(len(order), dtype=np.int32)
     return before, to
 
 
 class Phrases:
     """Phrases of one length: intervals ``low .. low + size`` forward and ``back ..`` reversed."""
 
-    def __init__(self, low, back, size, hashes, suffix=None, prefix=None):
+    def __init__(self, low, back, size, *hashes):
         self.low, self.back, self.size, self.hashes = low, back, size, hashes
-        self.suffix, self.prefix = suffix, prefix
 
     def only(self, keep: np.ndarray) -> Phrases:
-        return Phrases(*(x if x is None else x[keep] for x in (
-            self.low, self.back, self.size, self.hashes, self.suffix, self.prefix)))
+        return Phrases(*(x[keep] for x in (self.low, self.back, self.size, *self.hashes)))
 
 
 class Index:
-    """Both transforms of a shard's numbers, and its words."""
+    """Both transforms of a shard's numbers, ordered by ``depth`` words."""
 
     def __init__(self, numbers: np.ndarray, depth: int):
         self.numbers, self.n = numbers, len(numbers)
@@ -184,122 +258,144 @@ class Index:
         reverse = numbers[::-1]
         self.after, self.right = _steps(reverse, _order(reverse, depth))
 
-    def words(self, hashes: np.ndarray) -> Phrases:
+    def words(self, *hashes: np.ndarray) -> Phrases:
         """Phrases of one word; ``hashes`` are those of the words in order of their number."""
-        size = np.bincount(self.numbers, minlength=len(hashes) + 1)[1:]
+        size = np.bincount(self.numbers, minlength=len(hashes[0]) + 1)[1:]
         low = np.cumsum(size) - size + (self.n - int(size.sum()))
-        return Phrases(low, low, size, hashes)
+        return Phrases(low, low, size, *hashes)
 
     def _extended(self, start, size, words, to):
         """Per phrase and word beside it: phrase, word, first place moved to, and how many."""
         within = np.repeat(np.arange(len(start)), size)
-        places = np.arange(len(within)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(start, size)
+        places = np.arange(len(within)) + np.repeat(start - (np.cumsum(size) - size), size)
         word = words[places]
-        order = np.argsort(within * (int(word.max(initial=0)) + 1) + word)
-        within, word, places = within[order], word[order], places[order]
-        fresh = np.ones(len(within), bool)
-        fresh[1:] = (within[1:] != within[:-1]) | (word[1:] != word[:-1])
-        first = np.flatnonzero(fresh)
+        key = within * (int(word.max(initial=0)) + 1) + word
+        order = np.argsort(key)
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
         # Places of one phrase and word move to a run; its least place is the start of the interval.
-        moved = np.minimum.reduceat(to[places], first) if len(first) else first
-        return within[first], word[first], moved, np.diff(np.append(first, len(within)))
+        moved = np.minimum.reduceat(to[places[order]], first) if len(first) else first
+        at = order[first]
+        return within[at], word[at], moved.astype(np.int64), np.diff(np.append(first, len(key)))
 
-    def longer(self, phrases: Phrases, word_hashes: np.ndarray, length: int) -> Phrases:
+    def longer(self, phrases: Phrases, word_hashes: tuple[np.ndarray, ...], length: int) -> Phrases:
         """The phrases of ``length + 1`` words whose first and last ``length`` words are given."""
         of, word, low, size = self._extended(phrases.low, phrases.size, self.before, self.left)
         # Reversed, the longer phrase is the shorter one followed by the word: its places lie
         # within those of the shorter one, after those of all smaller words.
         back = phrases.back[of] + np.cumsum(size) - size
         back -= (np.cumsum(phrases.size) - phrases.size)[of]
-        p_of, _, p_back, _ = self._extended(phrases.back, phrases.size, self.after, self.right)
-        at = np.argsort(p_back)
-        place = np.searchsorted(p_back[at], back)
-        place[place == len(at)] = 0
-        both = (word > 0) & (p_back[at][place] == back) if len(at) else word < 0
-        prefix = p_of[at][place] if len(at) else of
-        hashes = buffers.mix(phrases.hashes[of] + word_hashes[word - 1] * _power(length))
-        return Phrases(low, back, size, hashes, of, prefix).only(both)
-
-
-def _power(length: int) -> np.uint64:
-    return np.uint64(pow(int(_STEP), length, 1 << 64))
-
-
-def _pruned(shards: DataFrame) -> DataFrame:
-    """Shards with their frequent words only; all others are gaps, and gaps in a row are one."""
-    def run(table: pa.Table) -> pa.Table:
-        numbers = np.frombuffer(table.column("numbers")[0].as_buffer(), np.int32)
-        hashes = table.column("hashes").combine_chunks().flatten()
-        keep = np.isin(hashes.to_numpy(), table.column("frequent").combine_chunks().flatten().to_numpy())
-        numbers = np.concatenate([[0], np.where(keep, np.cumsum(keep), 0)]).astype(np.int32)[numbers]
-        before = np.concatenate([[1], numbers[:-1]])
-        numbers = numbers[(numbers > 0) | (before > 0)]
-        keep = pa.array(np.flatnonzero(keep))
-        return pa.table({
-            "shard": table.column("shard"), "lang": table.column("lang"),
-            "words": pa.array([table.column("words").combine_chunks().flatten().take(keep)],
-                              pa.list_(pa.string())),
-            "hashes": pa.array([hashes.take(keep)], pa.list_(pa.int64())),
-            "numbers": pa.array([numbers.tobytes()], pa.binary())})
-
-    return materialize(shards.groupBy("shard").applyInArrow(
-        run, "shard long, lang string, words array<string>, hashes array<long>, numbers binary"),
-        "pruned")
-
-
-def _grown(table: pa.Table, longest: int):
-    """Index of the shard and its phrases by length, up to one length beyond what is known."""
-    numbers = np.frombuffer(table.column("numbers")[0].as_buffer(), np.int32)
-    word_hashes = table.column("hashes").combine_chunks().flatten().to_numpy().view(np.uint64)
-    frequent = table.column("frequent").combine_chunks().flatten().to_numpy().view(np.uint64)
-    index = Index(numbers, longest)
-    level = index.words(word_hashes)
-    levels = [level]
-    while len(levels) < longest:
-        if len(levels) > 1:  # all words of the shard are frequent
-            level = level.only(np.isin(level.hashes, frequent))
-        if not len(level.size):
-            break
-        level = index.longer(level, word_hashes, len(levels))
-        levels.append(level)
-    return index, levels, frequent
-
-
-def _candidates(shards: DataFrame, length: int, longest: int) -> DataFrame:
-    """``lang, shard, hash, n``: the phrases of ``length`` whose parts are frequent, per shard."""
-    def run(table: pa.Table) -> pa.Table:
-        _, levels, _ = _grown(table, longest)
-        level = levels[length - 1] if len(levels) >= length else levels[0].only(slice(0, 0))
-        n = len(level.size)
-        return pa.table({
-            "lang": pa.array([table.column("lang")[0].as_py()] * n, pa.string()),
-            "shard": pa.array(np.full(n, table.column("shard")[0].as_py(), np.int64)),
-            "hash": pa.array(level.hashes.view(np.int64)), "n": pa.array(level.size)})
-
-    return shards.groupBy("shard").applyInArrow(run, "lang string, shard long, hash long, n long")
-
-
-def _spelled(shards: DataFrame, longest: int) -> DataFrame:
-    """``lang, phrase, words, n``: the frequent phrases of each shard, those of the last length all."""
-    def run(table: pa.Table) -> pa.Table:
-        index, levels, frequent = _grown(table, longest)
-        spelled = table.column("words").combine_chunks().flatten().to_pylist()
-        phrases, lengths, sizes = [], [], []
-        for length, level in enumerate(levels, 1):
-            if 1 < length < longest:
-                level = level.only(np.isin(level.hashes, frequent))
-            at = index.order[level.low]
-            own = [index.numbers[(at + i) % index.n].tolist() for i in range(length)]
-            phrases += [" ".join(spelled[w - 1] for w in p) for p in zip(*own)]
-            lengths.append(np.full(len(at), length, np.int32))
-            sizes.append(level.size)
-        return pa.table({
-            "lang": pa.array([table.column("lang")[0].as_py()] * len(phrases), pa.string()),
-            "phrase": pa.array(phrases, pa.string()), "words": pa.array(np.concatenate(lengths)),
-            "n": pa.array(np.concatenate(sizes))})
-
-    return shards.groupBy("shard").applyInArrow(
-        run, "lang string, phrase string, words int, n long")
+        right = self._extended(phrases.back, phrases.size, self.after, self.right)[2]
+        both = np.flatnonzero((word > 0) & np.isin(back, right))
+        of, word = of[both], word[both]
+        return Phrases(low[both], back[both], size[both], *(
+            _joined(w[word - 1], h[of], length) for w, h in zip(word_hashes, phrases.hashes)))
+
+
+def _joined(word: np.ndarray, rest: np.ndarray, length: int) -> np.ndarray:
+    """Hash of a word and the ``length`` words after it."""
+    return buffers.mix(rest + word * np.uint64(pow(_STEP, length, 1 << 64)))
+
+
+def _rolled(numbers: np.ndarray, word_hashes: np.ndarray, length: int):
+    """Where a run of ``length`` words starts, and its hash."""
+    there = numbers > 0
+    word = np.zeros(len(numbers), np.uint64)
+    word[there] = word_hashes[numbers[there] - 1]
+    own, valid = word, there.copy()
+    for i in range(1, length):
+        own = _joined(word, np.roll(own, -1), i)
+        valid &= np.roll(there, -i)
+    starts = np.flatnonzero(valid)
+    return starts, own[starts]
+
+
+def _covered(numbers: np.ndarray, word_hashes: np.ndarray, length: int, bits: np.ndarray):
+    """The numbers that frequent phrases of ``length`` words cover, and where each stood."""
+    starts, own = _rolled(numbers, word_hashes, length)
+    starts = starts[_passes(bits, own)]
+    cover = np.zeros(len(numbers) + 1, np.int32)
+    np.add.at(cover, starts, 1)
+    np.add.at(cover, starts + length, -1)
+    where = np.flatnonzero(np.cumsum(cover[:-1]))
+    fresh = np.concatenate([[True], np.diff(where) > 1]) if len(where) else np.zeros(0, bool)
+    at = np.arange(len(where)) + np.cumsum(fresh)
+    out = np.zeros(len(where) + int(fresh.sum()), np.int32)
+    place = np.zeros(len(out), np.int64)
+    out[at], place[at] = numbers[where], where
+    return out, place
+
+
+def _frequent_runs(shards: DataFrame, length: int, bits: np.ndarray | None, least: int) -> DataFrame:
+    """``hash1`` of the phrases of ``length`` whose hashes occur ``least`` times.
+
+    ``bits`` is the filter of phrases one word shorter. Most phrases are rare, so they are counted by
+    one hash before any is extended, told apart and placed; a phrase that shares its hash with
+    another is only one too many for the index.
+    """
+    shared = shards.sparkSession.sparkContext.broadcast(bits)
+
+    def run(row: pa.RecordBatch) -> pa.RecordBatch:
+        numbers, hashes = _numbers(row), row.column("hash1").flatten().to_numpy().view(np.uint64)
+        starts, own = _rolled(numbers, hashes, length)
+        if shared.value is not None:
+            part, shorter = _rolled(numbers, hashes, length - 1)
+            known = np.zeros(len(numbers) + 1, bool)
+            known[part] = _passes(shared.value, shorter)
+            own = own[known[starts] & known[starts + 1]]
+        distinct, n = np.unique(own, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(n.astype(np.int64))],
+                                          names=["hash1", "n"])
+
+    return _sums(shards.select("words", "hash1", "numbers").mapInArrow(
+        _each_shard(run), "hash1 long, n long"), least)
+
+
+def _candidates(shards: DataFrame, length: int, bits: np.ndarray) -> DataFrame:
+    """``hash1, hash2, n, code``: phrases of ``length`` that pass the filter ``bits``, by shard.
+
+    ``code`` is the shard and the place of one occurrence in it.
+    """
+    shared = shards.sparkSession.sparkContext.broadcast(bits)
+
+    def run(row: pa.RecordBatch) -> pa.RecordBatch:
+        numbers, bits = _numbers(row), shared.value
+        hashes = tuple(row.column(c).flatten().to_numpy().view(np.uint64) for c in ("hash1", "hash2"))
+        numbers, place = _covered(numbers, hashes[0], length, bits)
+        level = Phrases(*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
+        if len(numbers):
+            index = Index(numbers, length)
+            level = index.words(*hashes)
+            level = level.only(level.size > 0)
+            for shorter in range(1, length):
+                level = index.longer(level, hashes, shorter)
+            level = level.only(_passes(bits, level.hashes[0]))
+            place = place[index.order[level.low]]
+        shard = row.column("shard")[0].as_py() << PLACE_BITS
+        return pa.RecordBatch.from_arrays(
+            [pa.array(level.hashes[0].view(np.int64)), pa.array(level.hashes[1].view(np.int64)),
+             pa.array(level.size.astype(np.int64)), pa.array(shard + place[:len(level.low)].astype(np.int64))],
+            names=["hash1", "hash2", "n", "code"])
+
+    return shards.select("shard", "words", "hash1", "hash2", "numbers").mapInArrow(
+        _each_shard(run), "hash1 long, hash2 long, n long, code long")
+
+
+def _spelled(shards: DataFrame, found: DataFrame) -> DataFrame:
+    """``lang, phrase, words, a`` of phrases given as ``code, words, a``."""
+    def run(row: pa.RecordBatch) -> pa.RecordBatch:
+        numbers, words = _numbers(row), row.column("words").flatten().to_pylist()
+        place, length, a = (row.column("own").flatten().field(c) for c in ("place", "words", "a"))
+        phrases = [" ".join(words[w - 1] for w in numbers[p: p + m].tolist())
+                   for p, m in zip(place.to_pylist(), length.to_pylist())]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([row.column("lang")[0].as_py()] * len(a), pa.string()),
+             pa.array(phrases, pa.string()), length, a], names=["lang", "phrase", "words", "a"])
+
+    own = found.groupBy(F.shiftright("code", PLACE_BITS).alias("shard")).agg(F.collect_list(F.struct(
+        F.col("code").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("place"), "words", "a")).alias("own"))
+    return shards.select("shard", "lang", "words", "numbers").join(own, "shard").mapInArrow(
+        _each_shard(run), "lang string, phrase string, words int, a long")
 
 
 # The corpus --------------------------------------------------------------------------------------
@@ -311,40 +407,23 @@ def frequent_phrases(docs: DataFrame, least: int, longest: int = 5, text: str =
 
     And ``lang, n``: the words of each language.
     """
-    shards = to_shards(docs, text, lang, shard_words)
-    totals = materialize(shards.select("lang", F.explode("counts").alias("c")).groupBy("lang").agg(
-        F.sum("c").alias("n")), "totals")
-    words = shards.select("lang", "shard", F.explode(
-        F.arrays_zip("hashes", F.col("counts").alias("n"))).alias("w"))
-    known = _often(words.select("lang", "shard", F.col("w.hashes").alias("hash"), "w.n"), least)
-    shards = _pruned(_with(shards, known))
-    held = None
-    for length in range(2, longest):
-        found = materialize(_candidates(_with(shards, held), length, longest), "held")
-        found = _often(found, least)
-        if found.isEmpty():
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"),
+                       F.col(text).alias("text"))
+    bits = _filter(_frequent_words(rows, least))
+    shards = to_shards(rows, bits, shard_words)
+    totals = shards.groupBy("lang").agg(F.sum("n").alias("n"))
+    found = []
+    for length in range(1, longest + 1):
+        if length > 1:
+            bits = _filter(_frequent_runs(shards, length, bits if length > 2 else None, least))
+        often = materialize(
+            _candidates(shards, length, bits).groupBy("hash1", "hash2").agg(
+                F.min("code").alias("code"), F.lit(length).alias("words"), F.sum("n").alias("a"))
+            .filter(F.col("a") >= least), "phrases")
+        found.append(often.select("code", "words", "a"))
+        if often.isEmpty():
             break
-        held = found if held is None else materialize(held.union(found), "known")
-    sums = _spelled(_with(shards, held), longest).groupBy("lang", "phrase", "words").agg(
-        F.sum("n").alias("a")).filter(F.col("a") >= least)
-    return materialize(sums, "phrases"), totals
-
-
-def _often(held: DataFrame, least: int) -> DataFrame:
-    """``shard, hashes``: of what the shards hold, what occurs ``least`` times in the corpus."""
-    often = held.groupBy("lang", "hash").agg(F.sum("n").alias("total")).filter(
-        F.col("total") >= least).select("lang", "hash")
-    return materialize(held.join(materialize(often, "often"), ["lang", "hash"]).groupBy("shard").agg(
-        F.collect_list("hash").alias("hashes")), "known")
-
-
-def _with(shards: DataFrame, known: DataFrame | None) -> DataFrame:
-    """Shards, a row each, with the hashes of their frequent phrases."""
-    if known is None:
-        return shards.withColumn("frequent", F.array().cast("array<bigint>"))
-    own = known.groupBy("shard").agg(F.flatten(F.collect_list("hashes")).alias("frequent"))
-    return shards.join(own, "shard", "left").withColumn(
-        "frequent", F.coalesce("frequent", F.array().cast("array<bigint>")))
+    return materialize(_spelled(shards, reduce(DataFrame.union, found)), "phrases"), totals
 
 
 def _div(a: Column, b: Column) -> Column:

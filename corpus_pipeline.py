@@ -14,14 +14,22 @@ from tonemill.plans.materialize import materialize
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 N_SHARDS = 40
+#: Least score of a text whose language counts as told.
+LEAST_SCORE = 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter go."""
+    """Documents whose language can be told, with that language as their ``lang``.
+
+    Texts that are null or have no letter go, and so do those whose score is below ``LEAST_SCORE``:
+    writing that is like none of the languages learnt, or like two of them. Rows with equal
+    texts share their fate. Without any labelled text no language can be told, and no row stays.
+    """
     docs = docs.select(*COLUMNS)
     model = langid.fit(docs.filter(~langid.held_out(F.col("doc_id"))))
     return langid.predict(docs, model).filter(
-        F.col("lang_pred") != langid.UNDETERMINED).select(*COLUMNS)
+        (F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    ).withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +50,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Null and empty texts hold none and stay; items without a text are in no document.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     return decontam.without_leaks(docs.select(*COLUMNS), items)
 
@@ -65,7 +76,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, size, text_crc32, shard, slot`` of every row that the mix holds."""
+    """``doc_id, size, text_crc32, shard, slot`` of every row that the mix holds.
+
+    A null text has size 16; equal rows are dealt each for itself; an empty table gives no rows.
+    """
     return sharding.shuffle_to_shards(sharding.keyed(docs), N_SHARDS).select(
         "doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"),
         F.col("slot").cast("bigint").alias("slot"))

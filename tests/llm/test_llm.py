@@ -231,8 +231,8 @@ def test_repeated_strings(spark, nothing, most):
     assert suffix.remove_repeats(nothing).count() == 0
 
 
-@pytest.mark.parametrize("bound", [1 << 20, -1])
-def test_frequent_lines(spark, docs, nothing, bound):
+@pytest.mark.parametrize("bound,shard_keys", [(1 << 20, 1 << 16), (1, 1)])
+def test_frequent_lines(spark, docs, nothing, bound, shard_keys):
     rows = corpus()
     key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\v\f\r"))
     counts = collections.Counter(k for r in rows for k in {
@@ -242,11 +242,23 @@ def test_frequent_lines(spark, docs, nothing, bound):
         own = (r[1] or "").split("\n")
         kept = [x for x in own if counts[key(x)] < 10 or not key(x)]
         want[r[0], "\n".join(kept), len(own), len(own) - len(kept)] += 1
-    got = lines.drop_lines(docs, broadcast_bytes=bound).collect()
+    got = lines.drop_lines(docs, broadcast_bytes=bound, shard_keys=shard_keys).collect()
     assert collections.Counter((r.doc_id, r.text or "", r.n_lines, r.n_dropped) for r in got) == want
     assert lines.drop_lines(nothing).count() == 0
 
 
+def test_lines_in_several_passes_and_any_column_names(spark):
+    rows = [(i, "\n".join([f"own {i}", *[f"line {k}" for k in range(12) if i % (k + 1) == 0], "end"]), [i], "K", 3)
+            for i in range(60)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, gone array<int>, GONE_ string, n_lines int")
+    passes = lines._groups(spark.createDataFrame([(i, b"x" * 10) for i in range(5)], "shard int, index binary"), 25)
+    assert passes == [[0, 1], [2, 3], [4]]
+    got = [sorted(map(str, lines.drop_lines(frame, broadcast_bytes=b, shard_keys=2).collect())) for b in (1, 1 << 20)]
+    assert got[0] == got[1]
+    r = next(r for r in lines.drop_lines(frame, broadcast_bytes=1, shard_keys=2).collect() if r.doc_id == 7)
+    assert (r.text, r.n_lines, r.n_dropped, r.gone, r.GONE_) == ("own 7\nline 6", 4, 2, [7], "K")
+
+
 def test_perfect_hash_numbers_every_key():
     rng = np.random.default_rng(4)
     k1, k2 = (rng.integers(0, 2**64, 5000, np.uint64) for _ in range(2))

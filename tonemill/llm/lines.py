@@ -7,8 +7,9 @@ enough documents are dealt to shards of bounded size; each shard builds a minima
 arrays of their fingerprints and counts at those numbers. Documents probe the arrays: the number
 of any line, then the fingerprint, which tells a key from a line that was never indexed.
 
-The arrays are broadcast if their bytes, which are counted first, stay below a bound; beyond it
-the line hashes are joined with the keys instead, with the same result.
+The arrays are broadcast in groups of shards of a bounded number of bytes, which are counted first.
+One group is the usual case; with more, the documents pass each group in turn, in written
+tables, and collect the numbers of the lines that go.
 
 Defined cases: a null or empty text is one empty line, which is never dropped (its key has no
 characters); if all lines go, the text is empty; equal rows count as documents of their own;
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonemill.llm import buffers
+from tonemill.llm.names import unused
 from tonemill.plans.materialize import materialize
 
 MIN_DOCS = 10
@@ -238,65 +240,57 @@ def drop_lines(docs: DataFrame, text: str = "text", min_docs: int = MIN_DOCS,
     keys = materialize(frequent_keys(docs, text, min_docs), "lines")
     n_shards = max(1, -(-keys.count() // shard_keys))
     shards = materialize(index_shards(keys, n_shards), "shards")
-    size = shards.agg(F.coalesce(F.sum(F.length("index")), F.lit(0))).first()[0]
+    groups = _groups(shards, broadcast_bytes)
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    docs = docs.select(*names).withColumn(text, F.col(text).cast("string"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    at = names.index(text)
-
-    def emit(batch, column, lines, drop):
-        dropped = np.bincount(lines.rows[drop], minlength=len(column))
-        columns = [*batch.columns[: len(names)], pa.array(lines.per_row), pa.array(dropped)]
-        columns[at] = _without(column, lines, drop)
-        return pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
-
-    if size <= broadcast_bytes:
-        sent = spark.sparkContext.broadcast(
-            {r["shard"]: bytes(r["index"]) for r in shards.toLocalIterator()})
-
-        def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(sent.value, n_shards)
-            for batch in batches:
-                for a, b in buffers.slices(batch.column(at), 4 * buffers.CHUNK_BYTES):
-                    part = batch.slice(a, b - a)
-                    lines = Lines(part.column(at))
-                    drop = lines.solid & (index.count(lines.key1, lines.key2) >= min_docs)
-                    yield emit(part, part.column(at), lines, drop)
-
-        return docs.mapInArrow(probe, f"{schema}, n_lines long, n_dropped long")
-
-    def occurrences(batches):
+    at, gone = names.index(text), unused(names, "gone")
+    docs = docs.select(*[F.col(f"`{c}`").cast("string").alias(c) if c == text else f"`{c}`" for c in names],
+                       F.array().cast("array<int>").alias(gone))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+
+    def parts(batches, sent):
+        """Chunks of rows with their lines and what of these goes, by this group or one before."""
+        index = Index(sent.value, n_shards)
         for batch in batches:
-            for a, b in buffers.slices(batch.column(1)):
-                lines = Lines(batch.column(1).slice(a, b - a))
-                ids = batch.column(0).slice(a, b - a).take(pa.array(lines.rows[lines.solid]))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, _long(lines.key1[lines.solid]), _long(lines.key2[lines.solid])],
-                    ["_text", "key1", "key2"])
-
-    # Lines depend on the text alone, so equal texts share one list of what goes.
-    name = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
-    texts = docs.select(name.alias("_text"), F.col(text).alias("t"))
-    gone = (
-        texts.mapInArrow(occurrences, "_text string, key1 long, key2 long").distinct()
-        .join(keys, ["key1", "key2"])
-        .groupBy("_text").agg(F.collect_list(F.struct("key1", "key2")).alias("_gone"))
-    )
-    joined = docs.withColumn("_text", name).join(gone, "_text", "left").select(*names, "_gone")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in buffers.slices(batch.column(at)):
+            for a, b in buffers.slices(batch.column(at), 4 * buffers.CHUNK_BYTES):
                 part = batch.slice(a, b - a)
-                lines = Lines(part.column(at))
-                drop = np.zeros(len(lines.rows), bool)
-                for r, own in enumerate(part.column(len(names)).to_pylist()):
-                    if own:
-                        want = {(k["key1"], k["key2"]) for k in own}
-                        for i in range(lines.first[r], lines.first[r] + lines.per_row[r]):
-                            drop[i] = lines.solid[i] and (
-                                int(lines.key1[i].view(np.int64)),
-                                int(lines.key2[i].view(np.int64))) in want
-                yield emit(part, part.column(at), lines, drop)
-
-    return joined.mapInArrow(apply, f"{schema}, n_lines long, n_dropped long")
+                lines, before = Lines(part.column(at)), part.column(len(names))
+                drop = lines.solid & (index.count(lines.key1, lines.key2) >= min_docs)
+                sizes = before.value_lengths().to_numpy(zero_copy_only=False)
+                drop[np.repeat(lines.first, sizes) + before.flatten().to_numpy(zero_copy_only=False)] = True
+                yield part, lines, drop
+
+    for i, group in enumerate(groups):
+        sent = spark.sparkContext.broadcast({r["shard"]: bytes(r["index"]) for r in shards.filter(
+            F.col("shard").isin(group)).toLocalIterator()})
+
+        def mark(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for part, lines, drop in parts(batches, sent):
+                found = np.bincount(lines.rows[drop], minlength=len(part))
+                place = np.flatnonzero(drop) - np.repeat(lines.first, found)
+                lists = pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(found)]).astype(np.int32)),
+                    pa.array(place.astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], lists], [*names, gone])
+
+        def remove(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            for part, lines, drop in parts(batches, sent):
+                dropped = np.bincount(lines.rows[drop], minlength=len(part))
+                columns = [*part.columns[:-1], pa.array(lines.per_row), pa.array(dropped)]
+                columns[at] = _without(part.column(at), lines, drop)
+                yield pa.RecordBatch.from_arrays(columns, [*names, "n_lines", "n_dropped"])
+
+        if i == len(groups) - 1:
+            return docs.mapInArrow(remove, f"{schema}, n_lines long, n_dropped long")
+        docs = materialize(docs.mapInArrow(mark, f"{schema}, `{gone}` array<int>"), "marked")
+
+
+def _groups(shards: DataFrame, most: int) -> list[list[int]]:
+    """Shards by number in groups of ``most`` bytes, or of one shard; one group at least."""
+    groups, held = [[]], 0
+    for r in shards.select("shard", F.length("index").alias("size")).orderBy("shard").collect():
+        if groups[-1] and held + r["size"] > most:
+            groups.append([])
+            held = 0
+        groups[-1].append(r["shard"])
+        held += r["size"]
+    return groups

@@ -11,12 +11,14 @@ retrieved is verified on the whole document: enough of the 5-word runs of the it
 of its answer must occur in it. An item without marked parts ends in its last sentence, which
 counts as the answer.
 
-The index is broadcast. Items beyond a bound of text bytes are split into groups by a hash of
-their ID, each with an index of its own and a pass over the documents.
+The index is broadcast: sorted posting lists by block, and the table of largest scores, of terms by
+64 blocks at most. Items beyond a bound of text bytes are split into groups by a hash, each with
+an index of its own and a pass over the documents. Document frequencies and the mean length are those
+of all items, so scores do not depend on the groups.
 
 Defined cases: null and empty texts have no passages and match nothing; items without words are
-skipped; equal items each match; null IDs are reported as null; columns of other names pass by
-unread; empty tables give no matches.
+skipped; equal items each match; IDs of any type, null too, are reported as they are; columns of other
+names pass by unread; empty tables give no matches.
 """
 
 from __future__ import annotations
@@ -28,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tonemill.llm import buffers
+from tonemill.plans.materialize import materialize
 
 K1, B = 1.2, 0.75
 PASSAGE, STRIDE = 96, 32
@@ -37,7 +41,8 @@ THRESHOLD = 0.6
 OVERLAP = 0.6
 RUN = 5
 BLOCK = 8
-INDEX_BYTES = 32 << 20
+#: Text bytes of the items of one index.
+INDEX_BYTES = 4 << 20
 
 
 def _hashes(text: bytes) -> np.ndarray:
@@ -69,9 +74,13 @@ def question_and_answer(text: str) -> tuple[str, str]:
 
 
 class Index:
-    """Impacts of each term on each item, scaled so that an item's own text scores 1."""
+    """Impacts of each term on each item, scaled so that an item's own text scores 1.
 
-    def __init__(self, items: list[tuple[int, str]]):
+    ``whole`` has the number and mean length of all items and their document frequencies by term, if
+    ``items`` are one group of them.
+    """
+
+    def __init__(self, items: list[tuple], whole: tuple[int, float, dict[int, int]] | None = None):
         kept = [(i, t, w) for i, t in items if t and len(w := _hashes(t.encode()))]
         kept.sort(key=lambda item: passage_words(len(item[2])))
         self.ids = [i for i, _, _ in kept]
@@ -81,8 +90,11 @@ class Index:
         mean = sum(len(w) for _, _, w in kept) / max(1, n)
         own = [np.unique(w, return_counts=True) for _, _, w in kept]
         places = [np.searchsorted(self.terms, t) for t, _ in own]
-        df = np.bincount(np.concatenate(places), minlength=len(self.terms)) if n else np.zeros(0)
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        df, total = np.bincount(np.concatenate(places), minlength=len(self.terms)) if n else np.zeros(0), n
+        if whole is not None:
+            total, mean = whole[:2]
+            df = np.array([whole[2][t] for t in self.terms.view(np.int64).tolist()], np.int64)
+        idf = np.log(1 + (total - df + 0.5) / (df + 0.5))
         impacts = []
         for (_, tf), at, (_, _, w) in zip(own, places, kept):
             x = idf[at] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(w) / mean))
@@ -101,12 +113,18 @@ class Index:
         self.bounds = np.zeros((len(self.terms) + 1, len(members)), np.float32)
         self.blocks = []
         for b, own_items in enumerate(members):
-            terms = np.unique(np.concatenate([places[i] for i in own_items]))
-            table = np.zeros((len(terms) + 1, len(own_items)), np.float32)
-            for c, i in enumerate(own_items):
-                table[np.searchsorted(terms, places[i]), c] = impacts[i]
-            self.bounds[terms, b] = table[:-1].max(axis=1)
-            self.blocks.append((own_items.start, terms, table))
+            term = np.concatenate([places[i] for i in own_items])
+            item = np.repeat(np.arange(len(own_items)), [len(places[i]) for i in own_items])
+            order = np.argsort(term, kind="stable")
+            impact = np.concatenate([impacts[i] for i in own_items])[order].astype(np.float32)
+            terms, first = np.unique(term[order], return_index=True)
+            self.bounds[terms, b] = np.maximum.reduceat(impact, first)
+            self.blocks.append((own_items, terms, np.append(first, len(term)), item[order], impact))
+
+    @staticmethod
+    def sorted_items(rows) -> list[tuple]:
+        """Items in an order that does not depend on how they came."""
+        return sorted(((r["id"], r["text"]) for r in rows), key=lambda x: (x[0] is None, str(x[0]), x[1]))
 
     def retrieve(self, row: np.ndarray, term: np.ndarray, threshold: float, blocks: slice):
         """``passage row, item, score`` at or above the threshold, for sorted (row, term)."""
@@ -117,14 +135,16 @@ class Index:
         upper = np.add.reduceat(self.bounds[term, blocks], starts, axis=0)
         found = []
         for p, b in np.argwhere(upper >= threshold - 1e-5).tolist():
-            first, terms, table = self.blocks[blocks.start + b]
+            items, terms, first, item, impact = self.blocks[blocks.start + b]
             asked = term[starts[p]: ends[p]]
             at = np.searchsorted(terms, asked)
-            at[at == len(terms)] = -1
+            at[at == len(terms)] = 0
             at = at[terms[at] == asked]
-            scores = table[at].sum(axis=0)
+            size = first[at + 1] - first[at]
+            lists = np.arange(size.sum()) + np.repeat(first[at] - (np.cumsum(size) - size), size)
+            scores = np.bincount(item[lists], weights=impact[lists], minlength=len(items))
             for c in np.flatnonzero(scores >= threshold - 1e-5).tolist():
-                found.append((int(row[starts[p]]), first + c, float(scores[c])))
+                found.append((int(row[starts[p]]), items.start + c, float(scores[c])))
         return found
 
     def overlap(self, item: int, words: np.ndarray) -> list[float]:
@@ -175,15 +195,38 @@ class Index:
         return out
 
 
+def _item_terms(items: DataFrame) -> DataFrame:
+    """``group, n, terms`` of each item with words: its number of words and its distinct terms."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [_hashes(t.encode()) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(w) for w in words], pa.int64()),
+                 pa.array([np.unique(w).view(np.int64) for w in words], pa.list_(pa.int64()))],
+                names=["group", "n", "terms"])
+
+    return items.select("group", "text").mapInArrow(run, "group long, n long, terms array<long>").filter("n > 0")
+
+
 def _indexes(items: DataFrame, key: str, text: str, index_bytes: int) -> Iterator[Index]:
     """Indexes of bounded groups of items; one group unless their texts pass the bound."""
-    rows = items.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    rows = items.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).filter(
+        "text IS NOT NULL")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     groups = max(1, -(-size // index_bytes))
+    rows = rows.withColumn("group", F.pmod(F.xxhash64("id", "text"), F.lit(groups)))
+    local = lambda own: Index.sorted_items(own.select("id", "text").toLocalIterator())
+    if groups == 1:
+        yield Index(local(rows))
+        return
+    terms = materialize(_item_terms(rows), "items")
+    total, mean = terms.agg(F.count("*"), F.avg("n")).first()
+    each = terms.select("group", F.explode("terms").alias("term"))
+    df = materialize(each.groupBy("term").agg(F.count("*").alias("df")), "frequencies")
     for g in range(groups):
-        own = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(groups)) == g)
-        yield Index(sorted(((r["id"], r["text"]) for r in own.toLocalIterator()),
-                           key=lambda x: (x[0] is None, x)))
+        own = each.filter(F.col("group") == g).select("term").distinct().join(df, "term")
+        yield Index(local(rows.filter(F.col("group") == g)),
+                    (total, mean, {r["term"]: r["df"] for r in own.toLocalIterator()}))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
@@ -192,7 +235,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
     """``key, item_key, score, question_overlap, answer_overlap`` of each verified match."""
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
-    item_kind = items.schema[item_key].dataType.simpleString()
+    item_type = items.schema[item_key].dataType
+    item_kind = item_type.simpleString()
     result = None
     for index in _indexes(items, item_key, item_text, index_bytes):
         sent = docs.sparkSession.sparkContext.broadcast(index)
@@ -205,7 +249,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                     columns = list(zip(*found)) if found else [()] * 5
                     yield pa.RecordBatch.from_arrays(
                         [part.column(0).take(pa.array(columns[0], pa.int64())),
-                         pa.array(columns[1], _ARROW[item_kind]),
+                         pa.array(columns[1], to_arrow_type(item_type)),
                          *(pa.array(c, pa.float64()) for c in columns[2:])],
                         ["key", "item", "score", "question", "answer"])
 
@@ -217,9 +261,6 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
                          F.col("answer").alias("answer_overlap"))
 
 
-_ARROW = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
-
-
 def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text",
                   threshold: float = THRESHOLD, overlap: float = OVERLAP,
                   index_bytes: int = INDEX_BYTES, **names) -> DataFrame:

@@ -229,6 +229,10 @@ def test_repeated_strings(spark, nothing, most):
     assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got] == plain_repeats(
         texts, suffix.LENGTH)
     assert suffix.remove_repeats(nothing).count() == 0
+    named = frame.select("doc_id", "text", *[F.lit(c).alias(c) for c in ("k1", "K2", "_ranges", "value", "spans", "own1")])
+    again = suffix.remove_repeats(named, most_stretches=most).orderBy("doc_id").collect()
+    assert [bytes(r.kept) for r in again] == [bytes(r.kept) for r in got]
+    assert all((r.k1, r.K2, r._ranges, r.value, r.own1) == ("k1", "K2", "_ranges", "value", "own1") for r in again)
 
 
 @pytest.mark.parametrize("bound,shard_keys", [(1 << 20, 1 << 16), (1, 1)])

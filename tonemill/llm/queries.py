@@ -200,7 +200,8 @@ def op5_bwt_repeats(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return suffix.remove_repeats(docs).select(
         "doc_id", "n_bytes", "n_removed", "n_spans",
-        F.sha2("kept", 256).alias("kept_sha256"))
+        F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"))
 
 
 @query("op6_line_dedup", LINES_SQL)

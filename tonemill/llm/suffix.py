@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonemill.llm import buffers
+from tonemill.llm.names import unused
 from tonemill.plans.materialize import materialize
 
 LENGTH = 400
@@ -305,8 +306,12 @@ def _by_hash(rows: DataFrame, length: int, pieces: int = 4) -> DataFrame:
     often = materialize(counted.groupBy(*same).agg(F.sum("n").alias("t")).filter("t > 1"), "often")
     ranges = counted.join(often, same).groupBy("g", "s").agg(F.array_sort(
         F.collect_set("place")).alias("p"))
-    return ranges.select("g", "s", F.flatten(F.transform(
-        "p", lambda x: F.array(x, x + length))).alias("ranges"))
+    # Places come in order, so a string either lengthens the last range or begins a new one.
+    merged = F.aggregate("p", F.array().cast("array<int>"), lambda done, x: F.when(
+        F.element_at(F.concat(F.array(F.lit(-1)), done), -1) >= x,
+        F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(x + length))
+    ).otherwise(F.concat(done, F.array(x, x + length))))
+    return ranges.select("g", "s", merged.alias("ranges"))
 
 
 def _sent(rows: DataFrame) -> DataFrame:
@@ -407,11 +412,14 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH,
         F.collect_set(F.struct("start", "end")).alias("_ranges")), "ranges")
     new = ("kept", "n_bytes", "n_removed", "n_spans")
     names = [c for c in docs.columns if c not in new]
-    keys = _text_keys(value)
-    rows = docs.select(*names, *[k.alias(f"_{c}") for k, c in zip(keys, ("k1", "k2"))]).join(
-        lists, (F.col("_k1") == F.col("k1")) & (F.col("_k2") == F.col("k2")), "left"
-    ).select(*names, value.alias("_value"), "_ranges")
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*names).schema)
+    k1, k2, own, spans = (unused([*docs.columns, "k1", "k2", "_ranges"], c) for c in (
+        "own1", "own2", "value", "spans"))
+    keyed = docs.select(*[f"`{c}`" for c in names], value.alias(own),
+                        *[k.alias(c) for k, c in zip(_text_keys(value), (k1, k2))])
+    lists = lists.toDF(r1 := unused(keyed.columns, "k1"), r2 := unused(keyed.columns, "k2"), spans)
+    rows = keyed.join(lists, (F.col(k1) == F.col(r1)) & (F.col(k2) == F.col(r2)), "left").select(
+        *[f"`{c}`" for c in names], own, spans)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keyed.schema.fields[: len(names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

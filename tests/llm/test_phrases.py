@@ -119,3 +119,21 @@ def test_a_full_filter_changes_nothing(spark, monkeypatch):
     monkeypatch.setattr(phrases, "_filter", lambda often: np.full(1 << 24, 255, np.uint8))
     got = phrases.collocations(docs, 10, 1000)
     assert sorted(tuple(r) for r in got.collect()) == expected(data, 10, 1000, 5)
+
+
+def test_words_that_are_names_of_languages(spark):
+    """The word ``es`` in ``en`` and the word ``en`` in ``es`` are two."""
+    data = [(i, "es es es. de la" if i % 2 else "a es b", "en") for i in range(40)]
+    data += [(100 + i, "en en. es a", "es") for i in range(30)] + [(200 + i, "es. en es", "de") for i in range(30)]
+    docs = spark.createDataFrame([(*r, 7, ["x"], 7, "p") for r in data], SCHEMA).repartition(2)
+    want = expected(data, 15, 100, 5)
+    assert len(want) > 4
+    assert sorted(tuple(r) for r in phrases.collocations(docs, 15, 100).collect()) == want
+
+
+def test_more_languages_in_a_task_than_4096(spark):
+    data = [(i, "a b. b", f"l{i % 4200}") for i in range(4200)] + [(i, "c d", "l7") for i in range(2)]
+    data += [(i, "e f", f"l{i}") for i in range(4150, 4200)] * 2
+    docs = spark.createDataFrame([(*r, 7, ["x"], 7, "p") for r in data], SCHEMA).coalesce(1)
+    got = phrases.collocations(docs, 2, 100)
+    assert sorted(tuple(r) for r in got.collect()) == expected(data, 2, 100, 5)

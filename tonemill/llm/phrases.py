@@ -48,7 +48,7 @@ FILTER_BITS = 27
 HELD_BYTES = 1 << 26
 #: Bits of a code that tell the place in a shard (more than a text can have words), and bits
 #: that number the shards of a task; the others number the task.
-PLACE_BITS, SHARD_BITS = 30, 12
+PLACE_BITS, SHARD_BITS = 30, 16
 
 _GAPS = buffers.SPACE.copy()
 _ENDS = np.zeros(256, bool)
@@ -91,8 +91,10 @@ def _words(batch: pa.RecordBatch):
 
 
 def _lang_hash(langs: pa.Array, seed: int) -> np.ndarray:
+    """To be added to hashes of words: unlike that of the same string as a word, so that the word
+    ``es`` of ``en`` is not taken for the word ``en`` of ``es``."""
     data, offsets = buffers.utf8(langs)
-    return buffers.SpanHash(data, seed).of(offsets[:-1], offsets[1:])
+    return buffers.mix(buffers.SpanHash(data, seed).of(offsets[:-1], offsets[1:]) ^ np.uint64(_STEP))
 
 
 def _frequent_words(rows: DataFrame, least: int) -> DataFrame:

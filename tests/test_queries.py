@@ -28,3 +28,9 @@ def test_query_equals_sql(spark, con, sf, name):
     assert len(got)
     if name in oracle_sql():
         assert difference(got, con.execute(oracle_sql()[name]).df()) is None
+
+
+def test_vectors_are_printed_once_each(spark):
+    """Not once per occurrence of their token, beside the join."""
+    plan = queries()["vector_lookup"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "array_join" not in plan

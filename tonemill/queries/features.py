@@ -80,9 +80,11 @@ SELECT t.ID, t.token, array_to_string(list_transform(v.vector, lambda x: CAST(ro
 def vector_lookup(spark, sf):
     """All components, in millionths, so that both sides print them alike."""
     tokens = profile.token_rows(corpus.cleaned(spark, sf), ws_tokens(F.col("Processed")), ["ID"])
-    return vectors.lookup_vectors(tokens, corpus.word_vectors(spark, sf)).select(
-        "ID", "token", F.array_join(F.transform("vector", lambda x: F.round(
-            x.cast("double") * 1000000).cast("long").cast("string")), ",").alias("micros"))
+    # Printed once per vector, not once per occurrence of its token.
+    printed = materialize(corpus.word_vectors(spark, sf).select(
+        "token", F.array_join(F.transform("vector", lambda x: F.round(
+            x.cast("double") * 1000000).cast("long").cast("string")), ",").alias("micros")), "micros")
+    return vectors.lookup_vectors(tokens, printed).select("ID", "token", "micros")
 
 
 @query("mean_pool", f"""

@@ -204,6 +204,30 @@ def test_mean_pool(spark):
     assert got[1] == [0, 0] and got[2] == [0, 0]
 
 
+def test_mean_pool_by_passes_and_odd_rows(spark, monkeypatch):
+    """Any number of passes gives the same means; no row of a join of texts with vectors is made."""
+    rng = random.Random(8)
+    names = [f"w{i}" for i in range(40)]
+    of = {n: [rng.uniform(-1, 1), rng.uniform(-1, 1), 1.0] for n in names[:25]}
+    vecs = spark.createDataFrame(list(of.items()) + [("w3", [9.0, 9.0, 9.0])], "token string, vector array<float>")
+    texts = [(i, " ".join(rng.choices(names, k=rng.randint(0, 30)))) for i in range(50)]
+    texts += [(7, "w1 w2"), (None, "w1"), (None, "w2"), (99, None), (98, "w3 w3")]
+    docs = spark.createDataFrame(texts, "ID long, Processed string").repartition(3)
+    both = {n: [v] for n, v in of.items()} | {"w3": [of["w3"], [9.0] * 3]}
+    want = []
+    for i, _ in texts:
+        every = [v for j, t in texts if i is not None and j == i for w in (t or "").split() for v in both.get(w, [])]
+        want.append((-1 if i is None else i, *([sum(x) / len(every) for x in zip(*every)] if every else [0.0] * 3)))
+    for size in (1 << 26, 500):
+        monkeypatch.setattr(vectors, "BLOCK_BYTES", size)
+        pooled = vectors.mean_pool(docs, vecs, 3)
+        assert "Join" not in pooled._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted((-1 if r["ID"] is None else r["ID"], *r["pooled"]) for r in pooled.collect())
+        for a, b in zip(got, sorted(want), strict=True):
+            assert a == pytest.approx(b, abs=1e-6)
+    assert [r["pooled"] for r in vectors.mean_pool(docs, vecs.limit(0), 3).collect()] == [[0.0] * 3] * len(texts)
+
+
 def test_subwords_equal_greedy_matching(spark):
     rng = random.Random(5)
     names = [PAD, UNK, CLS, SEP] + list("abc.") + ["##a", "##b", "ab", "##ab", "abc", "##bca", "##c"[:0] or "##cc"]
@@ -227,6 +251,27 @@ def test_subwords_equal_greedy_matching(spark):
         assert r["input_ids"][0] == 2 and r["input_ids"][n - 1] == 3 and set(r["input_ids"][n:]) <= {0}
 
 
+def test_subwords_without_a_shuffle(spark, monkeypatch):
+    rng = random.Random(6)
+    names = [PAD, UNK, CLS, SEP] + list("abcé.") + ["##a", "##b", "ab", "##ab", "abc", "##cc"]
+    vocab = spark.createDataFrame(list(enumerate(names)), "id int, token string")
+    texts = [" ".join("".join(rng.choices("abcé.", k=rng.randint(1, 7))) for _ in range(rng.randint(0, 15)))
+             for _ in range(80)] + ["", " ", "b" * 101, "ab " * 400]
+    df = spark.createDataFrame([("xy"[i % 2], i, t) for i, t in enumerate(texts)],
+                               "split string, ID long, Processed string").repartition(3)
+    want = sorted(map(tuple, subword.subword_tokens_by_join(df, vocab, keys=("split", "ID")).collect()))
+    for cached in (1 << 18, 2):
+        monkeypatch.setattr(subword, "CACHED_WORDS", cached)
+        found = subword.subword_tokens(df, vocab, keys=("split", "ID"))
+        assert sorted(map(tuple, found.collect())) == want and len(want) == len(texts)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan
+    monkeypatch.setattr(subword, "BROADCAST_TOKENS", 3)
+    assert sorted(map(tuple, subword.subword_tokens(df, vocab, keys=("split", "ID")).collect())) == want
+    null = spark.createDataFrame([(1, None)], "ID long, Processed string")
+    assert [tuple(r) for r in subword.subword_tokens(null, vocab).collect()] == [(1, [], "")]
+
+
 def test_scores(spark):
     df = spark.createDataFrame([([0.0, 2.0],), ([5.0, 5.0],), ([800.0, -800.0],)], "z array<double>")
     got = df.select(scores.softmax_score(F.col("z")), scores.argmax_class(F.col("z"))).collect()

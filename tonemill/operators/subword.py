@@ -1,14 +1,16 @@
 """Subword segmentation against a user's vocabulary, and padded id sequences.
 
-Each distinct word is segmented once and joined back to the texts. The vocabulary table is
-``token, id`` and holds the start, end, padding and unknown entries.
+Words are segmented where the texts lie, or, with a large vocabulary, once each and joined back to
+the texts. The vocabulary table is ``token, id`` and holds the start, end, padding and unknown entries.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ _PICKED = "array<struct<start:int,len:int,id:int>>"
 _CONTROL = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]"
 # A vocabulary up to this many tokens is broadcast as a trie; a larger one is joined by shuffle.
 BROADCAST_TOKENS = 1 << 18
+#: Words whose pieces a task remembers; others are segmented again where they occur.
+CACHED_WORDS = 1 << 18
 
 
 def words(text: Column) -> Column:
@@ -133,6 +137,56 @@ def subword_tokens(df: DataFrame, vocab: DataFrame, text: str = "Processed",
                    keys: tuple[str, ...] = ("ID",), max_chars: int = MAX_WORD_CHARS) -> DataFrame:
     """``(keys, ids, pieces)`` of every text, whole; empty texts keep their row.
 
+    With a vocabulary of up to ``BROADCAST_TOKENS`` tokens texts are segmented where they lie, without a
+    shuffle; a task segments a word once and remembers up to ``CACHED_WORDS`` of them. A larger
+    vocabulary is joined with the distinct words, and those with the texts.
+    """
+    if vocab.count() > BROADCAST_TOKENS:
+        return subword_tokens_by_join(df, vocab, text, keys, max_chars)
+    tokens = {r["token"]: r["id"] for r in vocab.select("token", "id").toLocalIterator()}
+    shared = df.sparkSession.sparkContext.broadcast(tokens)
+    texts = df.select(*keys, F.coalesce(words(F.col(text)), F.array().cast("array<string>")).alias("_words"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, unknown = _trie(shared.value), [(UNK, shared.value[UNK])]
+        cache: dict[str, tuple[list[int], str]] = {}
+
+        def segmented(word: str) -> tuple[list[int], str]:
+            found = cache.get(word)
+            if found is None:
+                parts = (_longest_matches(word, trie) if 0 < len(word) <= max_chars else None) or unknown
+                found = [i for _, i in parts], " ".join(p for p, _ in parts)
+                if len(cache) < CACHED_WORDS:
+                    cache[word] = found
+            return found
+
+        for batch in batches:
+            lists = batch.column("_words")
+            bounds = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+            flat = lists.flatten().dictionary_encode()
+            found = [segmented(w) for w in flat.dictionary.to_pylist()]
+            codes = flat.indices.to_numpy()
+            # The pieces of all distinct words end to end, and of every place those of its word.
+            n = np.array([len(i) for i, _ in found], np.int64)
+            ids = np.array([x for i, _ in found for x in i], np.int32)
+            first, n = (np.cumsum(n) - n)[codes], n[codes]
+            ends = np.concatenate([[0], np.cumsum(n)])
+            at = np.arange(ends[-1]) + np.repeat(first - ends[:-1], n)
+            pieces = pa.array([p for _, p in found], pa.string()).take(flat.indices)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(k) for k in keys),
+                 pa.ListArray.from_arrays(pa.array(ends[bounds].astype(np.int32)), pa.array(ids[at])),
+                 pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pieces), " ")],
+                names=[*keys, "ids", "pieces"])
+
+    kinds = ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in keys)
+    return texts.mapInArrow(run, f"{kinds}, ids array<int>, pieces string")
+
+
+def subword_tokens_by_join(df: DataFrame, vocab: DataFrame, text: str = "Processed",
+                           keys: tuple[str, ...] = ("ID",), max_chars: int = MAX_WORD_CHARS) -> DataFrame:
+    """The same rows for a vocabulary of any size; rows with the same keys are one text.
+
     Texts are cleaned and split once, into a written table that all later steps read.
 
     Positions are gathered per text and word first, without a shuffle, so a frequent word meets

@@ -198,6 +198,21 @@ def test_learning_curve_recounted_by_joins_and_prefixes_of_one_class(spark):
     assert got == want
 
 
+def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
+    """What a step sends is a gradient per task."""
+    seen = []
+
+    class Estimator:
+        def fit(self, rows):
+            seen.append(rows.rdd.getNumPartitions())
+
+    monkeypatch.setattr(logistic, "logistic_estimator", lambda *args: Estimator())
+    rows = spark.range(0, 10, 1, 40).select(F.array("id").alias("features"), F.lit(0).alias("label"))
+    for n, tasks in ((10, None), (10**7, None), (10**7, 5)):
+        logistic.fit_logistic(rows, n_rows=n, tasks=tasks)
+    assert seen == [1, spark.sparkContext.defaultParallelism, 5]
+
+
 def test_excess_tells_a_fit_from_a_poor_one(points):
     x, y, df = points
     good, poor = (logistic.fit_logistic(df, c=2.0, tol=t, max_iter=m) for t, m in ((1e-12, 500), (1e-6, 1)))

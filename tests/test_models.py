@@ -213,6 +213,20 @@ def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
     assert seen == [1, spark.sparkContext.defaultParallelism, 5]
 
 
+def test_recount_leaves_entries_where_they_lie(spark):
+    """Also of rows without entries; the coefficients come to the rows."""
+    rows = spark.createDataFrame([(i, Vectors.sparse(2, {i % 2: 1.0} if i % 3 else {}), i % 2) for i in range(12)],
+                                 ["ID", "features", "label"])
+    folds = rows.select("ID", (F.col("ID") % 2).cast("int").alias("fold"))
+    fits = spark.createDataFrame([(n, f, 0.5 - n, [-1.0, 3.0 * n]) for n in (1, 2) for f in (0, 1)],
+                                 "n_train long, held_out int, intercept double, coefficients array<double>")
+    found = search.recounted(fits, rows, folds)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
+    want = {(n, f): (6, sum((0.5 - n + ([-1.0, 3.0 * n][i % 2] if i % 3 else 0) > 0) == (i % 2 == 1)
+                            for i in range(f, 12, 2))) for n in (1, 2) for f in (0, 1)}
+    assert {(r.n_train, r.held_out): (r.test_rows, r.test_hits) for r in found.collect()} == want
+
+
 def test_excess_tells_a_fit_from_a_poor_one(points):
     x, y, df = points
     good, poor = (logistic.fit_logistic(df, c=2.0, tol=t, max_iter=m) for t, m in ((1e-12, 500), (1e-6, 1)))

@@ -198,6 +198,30 @@ def test_learning_curve_recounted_by_joins_and_prefixes_of_one_class(spark):
     assert got == want
 
 
+def test_curve_fits_of_rare_and_frequent_terms_reach_their_optimum(spark):
+    """Features as TF-IDF has them; the gradient is taken anew from the coefficients."""
+    rng = np.random.default_rng(5)
+    x = (rng.random((150, 60)) < 0.9 / np.arange(1, 61)) * rng.random((150, 60))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    y = (x[:, :8].sum(axis=1) + 0.3 * rng.standard_normal(150) > 0.8).astype(int)
+    rows = spark.createDataFrame([(i, Vectors.sparse(60, {int(j): float(r[j]) for j in np.nonzero(r)[0]}), int(y[i]))
+                                  for i, r in enumerate(x)], ["ID", "features", "label"])
+    folds = rows.select("ID", (F.col("ID") % 3).cast("int").alias("fold"))
+    fits = search.curve_fits(rows, folds, 2.0, k=3, steps=3).collect()
+    assert len(fits) == 9 and all(f.iterations < 100 for f in fits)
+    for f in fits:
+        train = [i for i in range(150) if i % 3 != f.held_out][:f.n_train]
+        w = np.array(f.coefficients)
+        z = x[train] @ w + f.intercept
+        miss = 1 / (1 + np.exp(-z)) - y[train]
+        g, free = 2.0 * x[train].T @ miss + w, 2.0 * miss.sum()
+        value = 2.0 * (np.logaddexp(0, z) - y[train] * z).sum() + w @ w / 2
+        assert (g @ g + free**2) / 2 / value < 1e-6
+        assert f.missed == pytest.approx((g @ g + free**2) / 2 / value, rel=1e-3, abs=1e-12)
+    # A search broken off is told from one that has ended.
+    assert min(f.missed for f in search.curve_fits(rows, folds, 2.0, k=3, steps=3, max_iter=2).collect()) > 1e-4
+
+
 def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
     """What a step sends is a gradient per task."""
     seen = []

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from tonemill.constants import CLS, PAD, SEP, UNK
 from tonemill.functions import scores, tokens
-from tonemill.operators import batches, metrics, profile, rows, subword, tfidf, trials, vectors
+from tonemill.operators import (batches, frequent, metrics, profile, rows, subword, tfidf, trials,
+                                vectors)
 from tonemill.plans.ranges import dense_index
 from tonemill.sources import tables
 
@@ -400,3 +401,26 @@ def test_cleaning_needs_no_shuffle(spark, sf):
     for name in ("clean_frequency", "clean_embedding", "clean_contextual", "ws_tokens", "word_tokens", "char_length"):
         plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, name
+
+
+@pytest.mark.parametrize("lo, hi, most", [(1, 3, 7), (1, 3, 40), (1, 2, 1), (2, 4, 15), (1, 1, 5), (1, 3, 100_000), (1, 3, 0)])
+def test_vocabulary_of_words_is_that_of_their_ngrams(spark, lo, hi, most):
+    """Also where a bucket holds many n-grams."""
+    rng = np.random.default_rng(most)
+    lists = [None, [], ["\u00e9t\u00e9"], ["a", "a", "a", "a"]] + [
+        [f"w{int(x)}" for x in rng.zipf(1.3, rng.integers(0, 40)) % 50] for _ in range(120)]
+    df = spark.createDataFrame([(x,) for x in lists], "terms array<string>").repartition(3)
+    want = tfidf.fit_vocabulary(tfidf.with_ngrams(df, "terms", (lo, hi)), max_features=most).collect()
+    got = tfidf.fit_vocabulary(df, max_features=most, ngram_range=(lo, hi)).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    crowded = frequent.candidates(df, "terms", lo, hi, 2, most, buckets=8).filter("df >= 2")
+    got = crowded.orderBy(F.desc("tf"), "term").limit(most).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_rare_ngrams_are_not_counted_as_strings(spark):
+    lists = [[f"f{j}" for j in range(5)] * 3 + [f"r{i}_{j}" for j in range(5)] for i in range(30)]
+    df = spark.createDataFrame([(x,) for x in lists], "terms array<string>")
+    found = {r["term"]: (r["tf"], r["df"]) for r in frequent.candidates(df, "terms", 1, 2, 2, 5).collect()}
+    longer = {t: c for t, c in found.items() if " " in t}
+    assert longer["f0 f1"] == (90, 30) and not any(t.startswith("r") for t in longer)

@@ -1,7 +1,8 @@
 """TF-IDF: vocabulary, weights and the heaviest terms of a class.
 
 Counting terms inside each row (sort, then run lengths) replaces a shuffle on (ID, term):
-the only shuffle of a fit is on the term, after partial counts.
+the only shuffle of a fit is on the term, after partial counts. A vocabulary of the most frequent
+n-grams is fitted on words, and counts only those that may be among them (``frequent.py``).
 """
 
 from __future__ import annotations
@@ -19,15 +20,21 @@ from pyspark.sql import functions as F
 from tonemill.constants import (STOP_WORDS, TFIDF_MAX_FEATURES, TFIDF_MIN_DF, TFIDF_NGRAMS,
                                 TOP_N)
 from tonemill.functions.tokens import ngrams, remove_stop_words, value_counts, word_tokens
+from tonemill.operators import frequent
 
 # Vocabularies up to this size are held as one MLlib model; larger ones stay a table.
 MODEL_TERMS = 1 << 20
 
 
+def word_array(text: Column, stop_words: list[str] = STOP_WORDS) -> Column:
+    """The words that are left when stop words are gone."""
+    return remove_stop_words(word_tokens(text), stop_words)
+
+
 def term_array(text: Column, stop_words: list[str] = STOP_WORDS,
                ngram_range: tuple[int, int] = TFIDF_NGRAMS) -> Column:
     """N-grams of the words that are left when stop words are gone."""
-    return ngrams(remove_stop_words(word_tokens(text), stop_words), *ngram_range)
+    return ngrams(word_array(text, stop_words), *ngram_range)
 
 
 def count_terms(df: DataFrame, terms: str = "terms") -> DataFrame:
@@ -46,15 +53,29 @@ def count_terms(df: DataFrame, terms: str = "terms") -> DataFrame:
 
 
 def fit_vocabulary(df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,
-                   max_features: int | None = TFIDF_MAX_FEATURES) -> DataFrame:
+                   max_features: int | None = TFIDF_MAX_FEATURES,
+                   ngram_range: tuple[int, int] | None = None) -> DataFrame:
     """Terms found in at least ``min_df`` rows, cut to the ``max_features`` most frequent.
 
-    Equal counts are ordered by term.
+    Equal counts are ordered by term. With ``ngram_range`` the column ``terms`` holds words, and terms are their
+    n-grams; ``df`` is then read twice, and should be a written table.
     """
-    kept = count_terms(df, terms).filter(F.col("df") >= min_df)
+    if ngram_range is None:
+        counted = count_terms(df, terms)
+    elif max_features is None:
+        counted = count_terms(with_ngrams(df, terms, ngram_range), terms)
+    else:
+        counted = frequent.candidates(df, terms, *ngram_range, min_df, max_features)
+    kept = counted.filter(F.col("df") >= min_df)
     return kept if max_features is None else kept.orderBy(F.desc("tf"), "term").limit(max_features)
 
 
+def with_ngrams(df: DataFrame, words: str = "terms",
+                ngram_range: tuple[int, int] | None = TFIDF_NGRAMS) -> DataFrame:
+    """The column of words replaced by its n-grams; without a range it is left as it is."""
+    return df if ngram_range is None else df.withColumn(words, ngrams(F.col(words), *ngram_range))
+
+
 def fit_idf(vocabulary: DataFrame, n_rows: Column) -> DataFrame:
     """Add smoothed inverse document frequency, ``ln((1 + n) / (1 + df)) + 1``."""
     return vocabulary.withColumn(
@@ -91,11 +112,12 @@ class TfIdf:
 
 
 def fit_tfidf(df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,
-              max_features: int = TFIDF_MAX_FEATURES) -> TfIdf:
+              max_features: int = TFIDF_MAX_FEATURES,
+              ngram_range: tuple[int, int] | None = None) -> TfIdf:
     """Fit on the rows of ``df``. The vocabulary is bounded by ``max_features``."""
     if max_features > MODEL_TERMS:
         raise ValueError(f"more than {MODEL_TERMS} features: use weights")
-    vocabulary = fit_idf(fit_vocabulary(df, terms, min_df, max_features), row_count(df))
+    vocabulary = fit_idf(fit_vocabulary(df, terms, min_df, max_features, ngram_range), row_count(df))
     rows = vocabulary.orderBy(F.desc("tf"), "term").select("term", "idf").toPandas()
     return TfIdf(rows["term"].tolist(), rows["idf"].to_numpy())
 
@@ -129,15 +151,17 @@ def weights_long(tfidf: TfIdf, df: DataFrame, terms: str = "terms",
 
 def weights(train: DataFrame, df: DataFrame, terms: str = "terms", min_df: int = TFIDF_MIN_DF,
             max_features: int | None = TFIDF_MAX_FEATURES,
-            keep: tuple[str, ...] = ("ID",)) -> DataFrame:
+            keep: tuple[str, ...] = ("ID",), ngram_range: tuple[int, int] | None = None) -> DataFrame:
     """``(keep, term, weight)`` of ``df`` by a vocabulary of any size fitted on ``train``.
 
-    ``max_features=None`` sets no bound; such a vocabulary stays a table. Rows are the same.
+    ``max_features=None`` sets no bound; such a vocabulary stays a table. Rows are the same. With
+    ``ngram_range`` both have words in the column ``terms``.
     """
+    rows = with_ngrams(df, terms, ngram_range)
     if max_features is not None and max_features <= MODEL_TERMS:
-        return weights_long(fit_tfidf(train, terms, min_df, max_features), df, terms, keep)
-    vocabulary = fit_idf(fit_vocabulary(train, terms, min_df, max_features), row_count(train))
-    return weights_by_join(vocabulary, df, terms, keep)
+        return weights_long(fit_tfidf(train, terms, min_df, max_features, ngram_range), rows, terms, keep)
+    vocabulary = fit_idf(fit_vocabulary(train, terms, min_df, max_features, ngram_range), row_count(train))
+    return weights_by_join(vocabulary, rows, terms, keep)
 
 
 def weights_by_join(vocabulary: DataFrame, df: DataFrame, terms: str = "terms",
@@ -158,10 +182,10 @@ def weights_by_join(vocabulary: DataFrame, df: DataFrame, terms: str = "terms",
 
 
 def top_ngrams(df: DataFrame, terms: str = "terms", max_features: int = 2000,
-               n: int = TOP_N) -> DataFrame:
+               n: int = TOP_N, ngram_range: tuple[int, int] | None = None) -> DataFrame:
     """The ``n`` terms with the largest summed TF-IDF weight in ``df``."""
-    tfidf = fit_tfidf(df, terms, min_df=1, max_features=max_features)
-    entries = tfidf.transform(df, terms).select(F.inline(sparse_entries(F.col("features"))))
+    tfidf = fit_tfidf(df, terms, min_df=1, max_features=max_features, ngram_range=ngram_range)
+    entries = tfidf.transform(with_ngrams(df, terms, ngram_range), terms).select(F.inline(sparse_entries(F.col("features"))))
     names = df.sparkSession.createDataFrame(list(enumerate(tfidf.terms)), "index int, term string")
     sums = entries.groupBy("index").agg(F.sum("weight").alias("score"))
     return (sums.join(F.broadcast(names), "index").select("term", "score")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tonemill.constants import (CLS, CONTINUATION, HIST_BINS, MAX_LEN, PAD, PROFILE_MAX_FEATURES,
                                 PROFILE_NGRAMS, SEP, STOP_WORDS, TFIDF_MAX_FEATURES, TFIDF_MIN_DF,
-                                TOP_N, UNK)
+                                TFIDF_NGRAMS, TOP_N, UNK)
 from tonemill.functions.tokens import ws_tokens
 from tonemill.operators import profile, subword, tfidf, vectors
 from tonemill.operators.rows import clean, filter_class
@@ -20,19 +20,21 @@ _IDF = f"SELECT term, tf, df, ln((1 + (SELECT count(*) FROM documents)) / (1 + d
 _SPLIT_TERMS = sql.term_rows(sql.cleaned("frequency", sql.SPLITS), "Processed", STOP_WORDS, 3, "split, ID")
 
 
-def _with_terms(df):
-    return clean(df, "frequency").withColumn("terms", tfidf.term_array(F.col("Processed")))
+def _words(df, *keep):
+    """Written, since a vocabulary reads its words twice; n-grams are made of them where they are read."""
+    words = clean(df, "frequency").select(*keep, tfidf.word_array(F.col("Processed")).alias("terms"))
+    return materialize(words, "words")
 
 
 @query("tfidf_vocab", _VOCAB)
 def tfidf_vocab(spark, sf):
-    return tfidf.fit_vocabulary(_with_terms(corpus.documents(spark, sf)))
+    return tfidf.fit_vocabulary(_words(corpus.documents(spark, sf)), ngram_range=TFIDF_NGRAMS)
 
 
 @query("tfidf_idf", f"SELECT term, tf, df, round(idf, 6) AS idf FROM ({_IDF})")
 def tfidf_idf(spark, sf):
     docs = corpus.documents(spark, sf)
-    vocabulary = tfidf.fit_vocabulary(_with_terms(docs))
+    vocabulary = tfidf.fit_vocabulary(_words(docs), ngram_range=TFIDF_NGRAMS)
     return (tfidf.fit_idf(vocabulary, tfidf.row_count(docs))
             .withColumn("idf", F.round("idf", 6)))
 
@@ -43,8 +45,8 @@ w AS (SELECT t.split, t.ID, t.term, t.tf * v.idf AS raw FROM t JOIN v ON t.term
 SELECT split, ID, term, round(raw / sqrt(sum(raw * raw) OVER (PARTITION BY split, ID)), 6) AS weight FROM w""")
 def tfidf_weights(spark, sf):
     """Fitted on the training texts, applied to all three splits."""
-    rows = materialize(_with_terms(corpus.splits(spark, sf)).select("split", "ID", "terms"), "terms")
-    return (tfidf.weights(rows.filter("split = 'train'"), rows, keep=("split", "ID"))
+    rows = _words(corpus.splits(spark, sf), "split", "ID")
+    return (tfidf.weights(rows.filter("split = 'train'"), rows, keep=("split", "ID"), ngram_range=TFIDF_NGRAMS)
             .withColumn("weight", F.round("weight", 6)))
 
 
@@ -64,9 +66,9 @@ SELECT term, round(sum(weight), 6) AS score FROM u GROUP BY term ORDER BY sum(we
     def run(spark, sf):
         stop = StopWordsRemover.loadDefaultStopWords("english")
         rows = filter_class(corpus.labelled(spark, sf), label).withColumn(
-            "terms", tfidf.term_array(F.col("Text"), stop, (lo, hi)))
-        rows = materialize(rows.select("terms"), "terms")
-        return (tfidf.top_ngrams(rows, max_features=PROFILE_MAX_FEATURES)
+            "terms", tfidf.word_array(F.col("Text"), stop))
+        rows = materialize(rows.select("terms"), "words")
+        return (tfidf.top_ngrams(rows, max_features=PROFILE_MAX_FEATURES, ngram_range=(lo, hi))
                 .withColumn("score", F.round("score", 6)))
 
 

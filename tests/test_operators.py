@@ -16,6 +16,7 @@ from tonemill.functions import scores, tokens
 from tonemill.operators import (batches, frequent, metrics, profile, rows, subword, tfidf, trials,
                                 vectors)
 from tonemill.plans.ranges import dense_index
+from tonemill.queries import profiling
 from tonemill.sources import tables
 
 EVAL = [(1, 1, 0.9), (0, 1, 0.8), (1, 1, 0.7), (0, 0, 0.3), (1, 0, 0.3)]
@@ -424,3 +425,18 @@ def test_rare_ngrams_are_not_counted_as_strings(spark):
     found = {r["term"]: (r["tf"], r["df"]) for r in frequent.candidates(df, "terms", 1, 2, 2, 5).collect()}
     longer = {t: c for t, c in found.items() if " " in t}
     assert longer["f0 f1"] == (90, 30) and not any(t.startswith("r") for t in longer)
+
+
+def test_sketches_and_exact_number_come_from_one_scan(spark, tmp_path, monkeypatch):
+    """Also of a row without a source or an ID; texts are neither cleaned twice nor shuffled."""
+    rows_ = [(1, "a", "One two http://x"), (2, "a", "two @me three"), (2, "b", "four  FOUR"), (None, "b", "five"),
+             (5, None, "six"), (6, "c", None)]
+    spark.createDataFrame(rows_, "doc_id long, source string, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, written = [], profiling.materialize
+    monkeypatch.setattr(profiling, "materialize", lambda df, name: seen.append((name, df)) or written(df, name))
+    got = {r["variant"]: r for r in profiling.vocab_size_sketch(spark, str(tmp_path)).collect()}
+    raw = {t for _, _, x in rows_ if x for t in x.split()}
+    assert got["raw"]["n_exact"] == len(raw) == 9 and got["raw"]["parts"] == got["cleaned"]["parts"] == 2
+    assert all(r["within_error"] for r in got.values())
+    plan = dict(seen)["tokens"]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 1 and "Join" not in plan

@@ -8,6 +8,7 @@ from tonemill.constants import (BATCH_SIZE, CURVE_STEPS, FOLDS, HIST_BINS, KDE_P
                                 TOP_N)
 from tonemill.functions.tokens import char_length
 from tonemill.operators import batches, profile, rows, trials
+from tonemill.plans.materialize import materialize
 from tonemill.queries import corpus, sql
 from tonemill.queries.registry import query
 
@@ -54,11 +55,12 @@ SELECT variant, count(*) AS n_exact, (SELECT count(DISTINCT source) FROM documen
 def vocab_size_sketch(spark, sf):
     """Distinct tokens from one sketch per source, united, beside the exact number: the estimate
     must lie within three standard errors of it."""
-    docs = corpus.cleaned(spark, sf)
-    sources = corpus.table(spark, sf, "documents").select(F.col("doc_id").alias("ID"), "source")
-    sketches = profile.token_sketches(docs.join(sources, "ID"), "source")
-    parts = sketches.groupBy("variant").agg(F.count("*").alias("parts"))
-    exact = profile.vocab_size(docs).withColumnRenamed("n_tokens", "n_exact")
+    docs = rows.clean(corpus.table(spark, sf, "documents").select(F.col("text").alias("Text"), "source"), "embedding")
+    # Written, since sketches and the exact number are both taken from them: texts are cleaned once.
+    tokens = materialize(profile.part_tokens(docs, "source"), "tokens")
+    sketches = materialize(profile.sketch_tokens(tokens), "sketches")
+    parts = sketches.groupBy("variant").agg(F.count("part").alias("parts"))
+    exact = profile.count_variants(tokens.select("variant", "token").distinct()).withColumnRenamed("n_tokens", "n_exact")
     return profile.united_size(sketches).join(exact, "variant").join(parts, "variant").select(
         "variant", "n_exact", "parts",
         (F.abs(F.col("n_tokens") / F.col("n_exact") - 1) <= 3 * profile.SKETCH_ERROR).alias("within_error"))

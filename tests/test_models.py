@@ -222,6 +222,22 @@ def test_curve_fits_of_rare_and_frequent_terms_reach_their_optimum(spark):
     assert min(f.missed for f in search.curve_fits(rows, folds, 2.0, k=3, steps=3, max_iter=2).collect()) > 1e-4
 
 
+def test_evened_fit_has_the_same_optimum_in_fewer_steps(spark):
+    rng = np.random.default_rng(6)
+    x = (rng.random((200, 80)) < 0.9 / np.arange(1, 81)) * rng.random((200, 80))
+    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+    y = (x[:, :8].sum(axis=1) + 0.3 * rng.standard_normal(200) > 0.8).astype(int)
+    df = spark.createDataFrame([(Vectors.sparse(80, {int(j): float(r[j]) for j in np.nonzero(r)[0]}), int(c))
+                                for r, c in zip(x, y)], ["features", "label"])
+    plain, even = logistic.fit_logistic(df, tol=1e-9), logistic.fit_logistic(df, even=80)
+    assert even.summary.totalIterations < plain.summary.totalIterations / 2
+    assert logistic.excess(even, df) < 1e-6
+    assert even.intercept == pytest.approx(plain.intercept, abs=1e-2)
+    assert even.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), abs=1e-2)
+    one = logistic.fit_logistic(df.filter("label = 1"), even=80)
+    assert one.intercept == math.inf and not one.coefficients.toArray().any()
+
+
 def test_tasks_of_a_fit_do_not_grow_with_the_rows(spark, monkeypatch):
     """What a step sends is a gradient per task."""
     seen = []

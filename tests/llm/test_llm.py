@@ -235,6 +235,42 @@ def test_repeated_strings(spark, nothing, most):
     assert all((r.k1, r.K2, r._ranges, r.value, r.own1) == ("k1", "K2", "_ranges", "value", "own1") for r in again)
 
 
+@pytest.mark.parametrize("most", [2000, 1])
+def test_repeated_strings_of_edges(spark, monkeypatch, most):
+    """Passages whose texts differ by a little more to either side, some of them found twice: all
+    right, and crowded anchors write a few rows a stretch, not one for every string in it."""
+    rng = random.Random(5)
+    text = lambda n: "".join(rng.choices("abc ", k=n))
+    written = {}
+    write = suffix.materialize
+
+    def counted(df, name):
+        rows = write(df, name)
+        written.setdefault(name, []).append(rows.count())
+        return rows
+
+    monkeypatch.setattr(suffix, "materialize", counted)
+    base = text(1000)
+    cut = [(rng.randint(0, 420), rng.randint(580, 1000)) for _ in range(60)]
+    texts = [text(rng.choice([0, 9, 300])) + base[a:b] + text(rng.choice([0, 9, 300])) for a, b in cut]
+    texts += [texts[3], texts[4], base[:500] + text(500), text(500) + base[500:]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix.remove_repeats(frame, most_stretches=most).orderBy("doc_id").collect()
+    assert [(r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in got] == plain_repeats(
+        texts, suffix.LENGTH)
+    stretches = max(written["distinct"])
+    assert all(max(n) <= 12 * stretches for name, n in written.items() if name != "kept")
+
+
+def test_gram_is_one_symbol_of_a_stretch():
+    gram = [bytes([x]) * suffix.GRAM for x in (5, 6, 5)]
+    parts = pa.array([b"ab" + gram[0] + b"c", gram[1] + b"", b"b" + gram[2] + b"c"], pa.binary())
+    text, sizes = suffix.symbols(parts, np.array([2, 0, 1]))
+    assert text.tolist() == [98, 99, 257, 100, 0, 258, 0, 99, 257, 100, 0]
+    assert sizes.tolist() == [4, 1, 3]
+    assert [x.tolist() for x in suffix.repeated_places(text, sizes, 3)] == [[0, 2], [1, 0]]
+
+
 @pytest.mark.parametrize("bound,shard_keys", [(1 << 20, 1 << 16), (1, 1)])
 def test_frequent_lines(spark, docs, nothing, bound, shard_keys):
     rows = corpus()

@@ -30,16 +30,18 @@ from pyspark.sql import functions as F
 
 from tonemill.llm.names import unused
 
-# Patterns of the kinds, and the ranges that make a value valid.
-EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*"
-         r"\.[A-Za-z]{2,}")
+# Patterns of the kinds, and the ranges that make a value valid. Groups of open length are repeated
+# possessively: other repeats take stack for every round, and a long run would end the executor.
+# An address ends with the letters of its last label that begins with two or more.
+EMAIL = (r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:[A-Za-z0-9-]*+"
+         r"(?:\.(?![A-Za-z]{2})[A-Za-z0-9-]++)*+\.[A-Za-z]{2,}+)++")
 DATE = (r"(?<![0-9/.-])(?:(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}"
         r"|[0-9]{2}/[0-9]{2}/(?:19|20)[0-9]{2})(?![0-9/-])")
 IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
 PHONE = (r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])"
          r"[0-9]{3}[ .-][0-9]{4}(?![0-9])")
-CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}(?![0-9])"
+CARD = r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,}+"
 # Cards as they are printed, looked for at every group of digits of a longer run.
 PRINTED = (r"(?<![0-9])(?=((?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}"
            r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})(?![0-9])))[0-9]")

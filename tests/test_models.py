@@ -153,6 +153,17 @@ def test_balanced_net_finds_a_rare_class(spark):
     assert metrics.binary_metrics(logistic.predict(model, df, ("ID", "label"))).first()["accuracy"] == 1.0
 
 
+def test_copies_of_a_rare_class_are_dealt_evenly(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(mlp, "fit_mlp", lambda train, *args, **settings: seen.append(train))
+    df = spark.range(4000).select(F.col("id").alias("ID"), (F.col("id") % 20 > 0).cast("int").alias("label"), F.lit("x").alias("features"))
+    mlp.fit_balanced(df, 2)
+    parts = [r["n"] for r in seen[0].groupBy(F.spark_partition_id().alias("part")).agg(F.count("*").alias("n")).collect()]
+    assert len(parts) == spark.sparkContext.defaultParallelism and sum(parts) == 7600
+    assert max(parts) < 1.1 * min(parts)
+    assert sorted(r["n"] for r in seen[0].filter("label = 0").groupBy("ID").agg(F.count("*").alias("n")).collect()) == [19] * 200
+
+
 def test_learning_curve_follows_from_stored_coefficients(spark, points):
     x, y, df = points
     folds = batches.stratified_folds(df.select("ID", "label"), k=3, label="label").select("ID", "fold")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -233,6 +234,48 @@ def test_curve_fits_of_rare_and_frequent_terms_reach_their_optimum(spark):
     assert min(f.missed for f in search.curve_fits(rows, folds, 2.0, k=3, steps=3, max_iter=2).collect()) > 1e-4
 
 
+def test_rows_of_a_curve_are_written_once_and_few_fits_hold_theirs(spark, monkeypatch):
+    """No copy for each fold; fits side by side stay within a number of bytes, a larger one runs alone."""
+    rows = spark.createDataFrame([(i, Vectors.sparse(2, {i % 2: 1.0, 1 - i % 2: 0.5}), int(i % 3 > 0)) for i in range(60)],
+                                 ["ID", "features", "label"])
+    folds = rows.select("ID", (F.col("ID") % 3).cast("int").alias("fold"))
+    written, running, seen, lock = [], [], [], threading.Lock()
+    write, fit = search.materialize, search.fit_logistic
+
+    def counted(df, name):
+        written.append(df.count())
+        return write(df, name)
+
+    def watched(train, c, max_iter, tol, n, *args):
+        with lock:
+            running.append(n)
+            seen.append(list(running))
+        model = fit(train, c, max_iter, tol, n, *args)
+        with lock:
+            running.remove(n)
+        return model
+
+    monkeypatch.setattr(search, "materialize", counted)
+    monkeypatch.setattr(search, "fit_logistic", watched)
+    monkeypatch.setattr(search, "HELD_BYTES", 30 * 2 * search.ENTRY_BYTES)
+    fits = search.curve_fits(rows, folds, 2.0, k=3, steps=4).collect()
+    assert written == [60] and len(fits) == len(seen) == 12
+    assert all(sum(ns) <= 30 or len(ns) == 1 for ns in seen)
+    assert [max(ns) for ns in seen if max(ns) > 15] == [20] * 3 + [30] * 3 + [40] * 3
+    assert [[f.n_train, f.train_rows, f.test_rows] for f in fits] == [[n, n, 20] for n in (10, 20, 30, 40) for _ in range(3)]
+
+
+def test_a_curve_without_features_or_training_rows(spark):
+    rows = spark.createDataFrame([(i, Vectors.dense([]), int(i % 4 > 0)) for i in range(9)], ["ID", "features", "label"])
+    folds = rows.select("ID", (F.col("ID") % 3).cast("int").alias("fold"))
+    for f in search.curve_fits(rows, folds, 2.0, k=3, steps=3).collect():
+        ones = [int(i % 4 > 0) for i in [j for j in range(9) if j % 3 != f.held_out][:f.n_train]]
+        assert f.coefficients == [] and f.train_rows == len(ones) and f.missed < 1e-6
+        assert f.train_hits == max(sum(ones), len(ones) - sum(ones))
+    alone = search.curve_fits(rows.limit(1), folds, 2.0, k=3, steps=3).collect()
+    assert sorted((f.held_out, f.train_rows, f.train_hits, f.test_rows) for f in alone) == [(0, 0, 0, 1), (1, 1, 1, 0), (2, 1, 1, 0)]
+
+
 def test_evened_fit_has_the_same_optimum_in_fewer_steps(spark):
     rng = np.random.default_rng(6)
     x = (rng.random((200, 80)) < 0.9 / np.arange(1, 81)) * rng.random((200, 80))
